@@ -184,7 +184,7 @@ def runs(h: np.ndarray, k: int) -> np.ndarray:
     n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = h[:n].copy()
+    out = mix(h[:n] + _M2)  # scrambled first: a sum alone would not tell the order of two words
     for j in range(1, k):
         out = mix(out + h[j : j + n])
     return out
