@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_tree, exact_dedup, packing, quality, token_counts
+from . import bpe_tree, exact_dedup, hmm_lm, packing, quality, secrets, token_counts
 from .common import table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -24,6 +24,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(_docs(spark, sf_dir), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_docs(spark, sf_dir), public_tokenizers.path(WORD_MODEL))
 
@@ -32,11 +36,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_docs(spark, sf_dir))
 
 
+def op7_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score_documents(_docs(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_docs(spark, sf_dir), public_tokenizers.path(WORD_MODEL))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op5_packing, op6_exact_dedup, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op4_secrets, op5_packing, op6_exact_dedup, op7_hmm, op9_token_counts)}
 
 OP6_SQL = r"""
 WITH d AS (
