@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_tree, exact_dedup, hmm_lm, packing, quality, secrets, token_counts
+from . import bpe_tree, exact_dedup, hmm_lm, html_crf, near_dedup, packing, quality, secrets, token_counts
 from .common import table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -40,11 +40,19 @@ def op7_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.score_documents(_docs(spark, sf_dir))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract_pages(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_docs(spark, sf_dir), public_tokenizers.path(WORD_MODEL))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op4_secrets, op5_packing, op6_exact_dedup, op7_hmm, op9_token_counts)}
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(_docs(spark, sf_dir), size=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op4_secrets, op5_packing, op6_exact_dedup, op7_hmm, op8_html, op9_token_counts, op10_near_dedup)}
 
 OP6_SQL = r"""
 WITH d AS (
