@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_tree, exact_dedup, hmm_lm, html_crf, near_dedup, packing, quality, secrets, token_counts
+from . import bpe_tree, exact_dedup, hmm_lm, html_crf, near_dedup, packing, quality, secrets, substring_dedup, token_counts
 from .common import table
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -24,6 +24,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(_docs(spark, sf_dir), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_docs(spark, sf_dir))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
@@ -52,7 +56,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_docs(spark, sf_dir), size=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op4_secrets, op5_packing, op6_exact_dedup, op7_hmm, op8_html, op9_token_counts, op10_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op3_substring_dedup, op4_secrets, op5_packing, op6_exact_dedup, op7_hmm, op8_html, op9_token_counts, op10_near_dedup)}
 
 OP6_SQL = r"""
 WITH d AS (
