@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -65,8 +66,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner see that earlier steps are no longer referenced, so that their shuffle files go."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first pass frees what holds the references, the second the plans
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -11,7 +11,7 @@ No bucket is expanded into all pairs, and no link between its members is lost:
 2. Jaccard distance is a metric. Of a bucket in which some members are in other components than the
    pivot, only those members, and the pivot's own members that are near enough to the nearest of
    them, can have links not found yet. These few are compared by the likelihood of their registers,
-   and what may reach the threshold is confirmed as before.
+   and what may reach the threshold is confirmed within the bucket's task.
 """
 
 from __future__ import annotations
@@ -175,37 +175,63 @@ def confirm(docs: DataFrame, pairs: DataFrame, size: int, hub: str = "b") -> Dat
     return found.where("joint > 0")
 
 
-def _rest(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components within a bucket whose registers say that they may be linked."""
-    dealt = rows.repartition(common.partitions(rows.sparkSession), "band").sortWithinPartitions("band", "n")
+def _rest(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of a bucket that are in different components.
+
+    A task takes one bucket's texts. Registers say which pairs may be linked; those are confirmed on
+    the full sets right there, by counting through an index from shingle to members, and only links
+    that join parts of the bucket not joined before go on: fewer than the bucket has members.
+    """
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(rows, "id")
+    dealt = texts.repartition(common.partitions(docs.sparkSession), "band").sortWithinPartitions("band", "n", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         held: list[tuple] = []
 
-        def close() -> Iterator[pa.RecordBatch]:
-            ids, parts, n = (np.array([r[k] for r in held], np.int64) for k in (1, 2, 3))
-            registers = np.frombuffer(b"".join(r[4] for r in held), "<u2").reshape(-1, REGISTERS)
-            for i in range(1, len(ids)):
-                first = np.searchsorted(n[:i], -(-n[i] * percent // 100))  # smaller sets can't be alike enough
-                js = first + np.flatnonzero(parts[first:i] != parts[i])
-                for k in range(0, len(js), 4096):
-                    part = js[k : k + 4096]
-                    greater, smaller = (registers[part] > registers[i]).sum(1), (registers[part] < registers[i]).sum(1)
-                    likely = part[likely_similarity(greater, smaller, n[part], np.full(len(part), n[i])) >= percent / 100 - SLACK]
-                    if len(likely):
-                        yield common.batch_of(schema, np.maximum(ids[likely], ids[i]), np.minimum(ids[likely], ids[i]))
+        def close() -> list[tuple[int, int]]:
+            ids, n = np.array([r[1] for r in held], np.int64), np.array([len(r[4]) for r in held], np.int64)
+            _, label = np.unique([r[2] for r in held], return_inverse=True)
+            registers = np.frombuffer(b"".join(r[3] for r in held), "<u2").reshape(-1, REGISTERS)
+            sets = [r[4] for r in held]
             held.clear()
+            member = np.repeat(np.arange(len(ids)), n)
+            values, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+            owners = member[np.argsort(code, kind="stable")]
+            first = np.cumsum(count) - count
+            edge = np.concatenate([[0], np.cumsum(n)])
+            out = []
+            for i in range(1, len(ids)):
+                able = np.flatnonzero((label[:i] != label[i]) & (n[:i] * 100 >= n[i] * percent))
+                if not len(able):
+                    continue
+                greater, smaller = (registers[able] > registers[i]).sum(1), (registers[able] < registers[i]).sum(1)
+                likely = able[likely_similarity(greater, smaller, n[able], np.full(len(able), n[i])) >= percent / 100 - SLACK]
+                if not len(likely):
+                    continue
+                own = code[edge[i] : edge[i + 1]]
+                stop = np.cumsum(count[own])
+                at = np.repeat(first[own] - (stop - count[own]), count[own]) + np.arange(stop[-1])
+                shared = np.bincount(owners[at], minlength=len(ids))[likely]
+                for j in likely[shared * 100 >= (n[likely] + n[i] - shared) * percent].tolist():
+                    if label[j] != label[i]:
+                        out.append((int(max(ids[i], ids[j])), int(min(ids[i], ids[j]))))
+                        label[label == label[j]] = label[i]
+            return out
 
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for batch in common.slices(batches, "text", 1 << 20):
+            bands, ids, parts, registers = (batch.column(k).to_pylist() for k in (0, 1, 2, 3))
+            out = []
+            for row in zip(bands, ids, parts, registers, shingle_sets(batch.column(4), size), strict=True):
                 if held and held[0][0] != row[0]:
-                    yield from close()
+                    out += close()
                 held.append(row)
-        if held:
-            yield from close()
+            if out:
+                yield common.batch_of(schema, *zip(*out, strict=True))
+        if held and (out := close()):
+            yield common.batch_of(schema, *zip(*out, strict=True))
 
-    return dealt.select("band", "id", "component", "n", "registers").mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    return dealt.select("band", "id", "component", "registers", "text").mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -217,7 +243,7 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     share a doc_id count as one document and so share its component. A row without doc_id is linked
     with nothing, has no component and is kept. Only doc_id and text are read.
     """
-    common.prepare(docs.sparkSession)
+    spark = common.prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     rows = common.settle(_described(docs, size), "near-rows")
     sets = rows.where("rep is not null")
@@ -232,8 +258,10 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     spread = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = bands.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     shared = common.settle(salted.join(spread, ["band", "salt"]).where("id <> pivot").select("band", "id", "pivot"), "near-buckets")
+    common.release(spark)
     stars = shared.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     tested = common.settle(confirm(docs, stars, size), "near-tested")
+    common.release(spark)
     linked = (F.col("shared") * 100 >= F.col("joint") * percent)
     links = tested.where(linked).select("a", "b")
     found = components(links)
@@ -253,11 +281,10 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     crowd = close.select("band").distinct().withColumn("crowd", F.lit(True))
     alone = alone.join(crowd, "band", "left").where("n_apart > 1 or crowd").select("band", "id", "component")
     rest = alone.unionByName(close).join(able.select("id", "n", "registers"), "id")
-    more = common.settle(_rest(rest, percent), "near-rest")
+    more = common.settle(_rest(docs, rest, size, percent), "near-rest")
+    common.release(spark)
     if not more.isEmpty():
-        again = common.settle(confirm(docs, more, size), "near-tested")
-        links = links.unionByName(again.where(linked).select("a", "b"))
-        found = components(links)
+        found = components(links.unionByName(more))
 
     roots = classes.select("set_key", "id").join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("set_key", F.coalesce("component", "id").alias("root"))
     owners = sets.where("registers is not null").select("rep", "set_key").join(roots, "set_key").select("rep", "root")
