@@ -118,6 +118,9 @@ _ENTRY_DDL = "bucket int, docs binary, runs binary, codes binary, doc_id long, r
 _ENTRY = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in ("docs", "runs", "codes")), *((n, pa.int64()) for n in ("doc_id", "row_key", "hub", "hub_key")), ("starts", pa.binary())])
 _RUN = np.dtype([("anchor", "<u8"), ("doc", "<u4"), ("at", "<u4"), ("n", "u1")])
 _SPAN_DDL = "doc_id long, row_key long, hub long, hub_key long, starts binary"
+_SPAN = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("hub", pa.int64()), ("hub_key", pa.int64()), ("starts", pa.binary())])
+_PACK_DDL = "home int, pairs binary, starts binary"
+_PACK = pa.schema([("home", pa.int32()), ("pairs", pa.binary()), ("starts", pa.binary())])
 
 
 def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -126,13 +129,12 @@ def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(first - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)
 
 
-def _found(doc: np.ndarray, hub: np.ndarray, at: np.ndarray, ids: np.ndarray, keys: np.ndarray) -> tuple:
-    """Columns (doc_id, row_key, hub, hub_key, starts): one row per document and hub."""
+def _found(doc: np.ndarray, hub: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, hub, number of starts) per document and hub, and all starts in that order."""
     order = np.lexsort((at, hub, doc))
     doc, hub, at = doc[order], hub[order], at[order]
     edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (hub[1:] != hub[:-1])])) if len(doc) else np.zeros(0, int)
-    blobs = [part.astype("<u4").tobytes() for part in np.split(at, edge[1:])] if len(doc) else []
-    return ids[doc[edge]], keys[doc[edge]], ids[hub[edge]], keys[hub[edge]], blobs
+    return doc[edge], hub[edge], np.diff(np.append(edge, len(doc))), at
 
 
 def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
@@ -159,7 +161,7 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             held.clear()
             if whole:
                 none = [None] * len(whole)
-                yield common.batch_of(_ENTRY, [0] * len(whole), none, none, none, *zip(*whole, strict=True), none)
+                yield common.batch_of(_ENTRY, np.arange(len(whole)) % buckets, none, none, none, *zip(*whole, strict=True), none)
             if not chosen:
                 return
             ids, keys = (np.array([r[k] for r in chosen], np.int64) for k in (0, 1))
@@ -176,9 +178,10 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             owner[order] = doc[order][np.flatnonzero(lead)][np.cumsum(lead) - 1]
             later = ids[owner] < ids[doc]
             if later.any():
-                rows = _found(doc[later], owner[later], at[later], ids, keys)
-                none = [None] * len(rows[4])
-                yield common.batch_of(_ENTRY, np.arange(len(none)) % buckets, none, none, none, *rows)
+                own, hub, n, starts = _found(doc[later], owner[later], at[later])
+                none = [None] * len(own)
+                blobs = [x.astype("<u4").tobytes() for x in np.split(starts, np.cumsum(n)[:-1])]
+                yield common.batch_of(_ENTRY, np.arange(len(own)) % buckets, none, none, none, ids[own], keys[own], ids[hub], keys[hub], blobs)
             stay = np.flatnonzero(~later)
             code, anchor, doc, at = code[stay], anchor[stay], doc[stay], at[stay]
             begins = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)]))
@@ -216,57 +219,104 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
         if held:
             yield from flush()
 
+    def packed(doc_id, row_key, hub, hub_key, n, starts) -> Iterator[pa.RecordBatch]:
+        """Entries packed by the home bucket of their document: a row per home, however many entries."""
+        home = (row_key.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        table = np.stack([doc_id, row_key, hub, hub_key, n]).astype("<i8")
+        first = np.cumsum(n) - n
+        edge = np.searchsorted(home[order], np.arange(buckets + 1))
+        for b in np.flatnonzero(edge[1:] > edge[:-1]).tolist():
+            own = order[edge[b] : edge[b + 1]]
+            yield common.batch_of(_PACK, [b], [table[:, own].tobytes()], [starts[_spread(first[own], n[own])].astype("<u4").tobytes()])
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("hub", pa.int64()), ("hub_key", pa.int64()), ("starts", pa.binary())])
-        bucket, held = None, []
-
-        def close() -> pa.RecordBatch | None:
-            tables = [np.frombuffer(d, "<i8").reshape(2, -1) for d, _, _ in held]
-            base = np.cumsum([0, *(t.shape[1] for t in tables)])
-            ids, keys = np.concatenate(tables, 1)
-            parts: dict[str, list] = {f: [] for f in _RUN.names}
-            for k, (_, fields, _) in enumerate(held):
-                n, skip = len(fields) // _RUN.itemsize, 0
-                for f in _RUN.names:
-                    kind = _RUN[f]
-                    column = np.frombuffer(fields, kind, n, skip)
-                    parts[f].append(column + base[k] if f == "doc" else column)
-                    skip += n * kind.itemsize
-            anchor, doc, at, count = (np.concatenate(parts[f]) for f in _RUN.names)
-            count = count.astype(np.int64)
-            low = np.frombuffer(b"".join(c for _, _, c in held), np.uint8).reshape(-1, 3).astype(np.uint64)
-            held.clear()
-            code = np.repeat(anchor, count) + common.mix(low[:, 0] | low[:, 1] << np.uint64(8) | low[:, 2] << np.uint64(16))
-            del low
-            # Documents numbered in the order of their ids: the first of equal codes is the smallest.
-            rank = np.empty(len(ids), np.int64)
-            by_id = np.lexsort((keys, ids))
-            rank[by_id] = np.arange(len(ids))
-            ids, keys = ids[by_id], keys[by_id]
-            doc = np.repeat(rank[doc], count)
-            at = _spread(at.astype(np.int64), count)
-            order = np.lexsort((doc, code))
-            code, doc, at = code[order], doc[order], at[order]
-            lead = np.concatenate([[True], code[1:] != code[:-1]])
-            owner = doc[np.flatnonzero(lead)][np.cumsum(lead) - 1]
-            later = ids[owner] < ids[doc]
-            return common.batch_of(schema, *_found(doc[later], owner[later], at[later], ids, keys)) if later.any() else None
+        bucket, held, ready = None, [], []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if held:
+                tables = [np.frombuffer(d, "<i8").reshape(2, -1) for d, _, _ in held]
+                base = np.cumsum([0, *(t.shape[1] for t in tables)])
+                ids, keys = np.concatenate(tables, 1)
+                parts: dict[str, list] = {f: [] for f in _RUN.names}
+                for k, (_, fields, _) in enumerate(held):
+                    n, skip = len(fields) // _RUN.itemsize, 0
+                    for f in _RUN.names:
+                        kind = _RUN[f]
+                        column = np.frombuffer(fields, kind, n, skip)
+                        parts[f].append(column + base[k] if f == "doc" else column)
+                        skip += n * kind.itemsize
+                anchor, doc, at, count = (np.concatenate(parts[f]) for f in _RUN.names)
+                count = count.astype(np.int64)
+                low = np.frombuffer(b"".join(c for _, _, c in held), np.uint8).reshape(-1, 3).astype(np.uint64)
+                held.clear()
+                code = np.repeat(anchor, count) + common.mix(low[:, 0] | low[:, 1] << np.uint64(8) | low[:, 2] << np.uint64(16))
+                del low
+                # Documents numbered in the order of their ids: the first of equal codes is the smallest.
+                rank = np.empty(len(ids), np.int64)
+                by_id = np.lexsort((keys, ids))
+                rank[by_id] = np.arange(len(ids))
+                ids, keys = ids[by_id], keys[by_id]
+                doc = np.repeat(rank[doc], count)
+                at = _spread(at.astype(np.int64), count)
+                order = np.lexsort((doc, code))
+                code, doc, at = code[order], doc[order], at[order]
+                lead = np.concatenate([[True], code[1:] != code[:-1]])
+                owner = doc[np.flatnonzero(lead)][np.cumsum(lead) - 1]
+                later = ids[owner] < ids[doc]
+                own, hub, n, starts = _found(doc[later], owner[later], at[later])
+                yield from packed(ids[own], keys[own], ids[hub], keys[hub], n, starts)
+            if ready:
+                whole = np.array([x[:4] for x in ready], np.int64).T
+                blobs = [x[4] or b"" for x in ready]
+                ready.clear()
+                yield from packed(*whole, np.array([len(x) // 4 for x in blobs]), np.frombuffer(b"".join(blobs), "<u4"))
 
         for batch in batches:
             for b, docs_blob, fields, codes, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if docs_blob is None:
-                    yield common.batch_of(schema, *([x] for x in rest))
-                    continue
-                if held and b != bucket:
-                    if (out := close()) is not None:
-                        yield out
+                if b != bucket:
+                    yield from close()
                 bucket = b
-                held.append((docs_blob, fields, codes))
-        if held and (out := close()) is not None:
-            yield out
+                if docs_blob is None:
+                    ready.append(rest)
+                else:
+                    held.append((docs_blob, fields, codes))
+        yield from close()
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per document and hub, from all buckets; no starts stand for the whole document."""
+        home, tables, starts = None, [], []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if not tables:
+                return
+            table, all_starts = np.concatenate(tables, 1), np.concatenate(starts)
+            tables.clear()
+            starts.clear()
+            first = np.cumsum(table[4]) - table[4]
+            order = np.lexsort(table[3::-1])
+            pairs = table[:4, order]
+            edge = np.flatnonzero(np.concatenate([[True], (pairs[:, 1:] != pairs[:, :-1]).any(0)]))
+            count = np.add.reduceat(table[4, order], edge)
+            joined = all_starts[_spread(first[order], table[4, order])].astype("<u4")
+            for k in range(0, len(edge), 4096):
+                part = slice(k, k + 4096)
+                stop = np.cumsum(count[part]) + count[:k].sum()
+                blobs = [joined[b - n : b].tobytes() or None for b, n in zip(stop.tolist(), count[part].tolist(), strict=True)]
+                yield common.batch_of(_SPAN, *pairs[:, edge[part]], blobs)
+
+        for batch in batches:
+            for b, table, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if b != home:
+                    yield from close()
+                home = b
+                tables.append(np.frombuffer(table, "<i8").reshape(5, -1))
+                starts.append(np.frombuffer(own, "<u4"))
+        yield from close()
 
     entries = docs.select("doc_id", "text", "row_key").mapInArrow(deal, _ENTRY_DDL)
-    return entries.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, _SPAN_DDL)
+    met = entries.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, _PACK_DDL)
+    return met.repartition(buckets, "home").sortWithinPartitions("home").mapInArrow(gather, _SPAN_DDL)
 
 
 # ---- matching against the hubs ----
@@ -288,9 +338,8 @@ def _joined_starts(blobs: list[bytes], window: int) -> np.ndarray:
 
 def _matched(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
     """(doc_id, row_key, spans): the spans whose windows the hub's automaton confirms."""
-    grouped = found.where("starts is not null").groupBy("doc_id", "row_key", "hub", "hub_key").agg(F.collect_list("starts").alias("starts"))
-    salted = grouped.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)).cast("int"))
-    hubs = salted.select(F.col("hub").alias("doc_id"), F.col("hub_key").alias("row_key"), "hub", "hub_key", F.lit(None).cast("array<binary>").alias("starts"), "salt").distinct()
+    salted = found.where("starts is not null").withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)).cast("int"))
+    hubs = salted.select(F.col("hub").alias("doc_id"), F.col("hub_key").alias("row_key"), "hub", "hub_key", F.lit(None).cast("binary").alias("starts"), "salt").distinct()
     uses = salted.withColumn("member", F.lit(1)).unionByName(hubs.withColumn("member", F.lit(0)))
     texts = docs.join(uses, ["doc_id", "row_key"])
 
@@ -301,7 +350,7 @@ def _matched(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
             for text, hub, hub_key, salt, member, doc_id, row_key, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = _split(text)
                 if member:
-                    spans = _joined_starts(starts, window)
+                    spans = _joined_starts([starts], window)
                     out.append((hub, hub_key, salt, 1, doc_id, row_key, spans.astype("<u4").tobytes(), b"\n".join(b" ".join(words[a:b]) for a, b in spans.tolist())))
                 else:
                     out.append((hub, hub_key, salt, 0, None, None, None, b" ".join(words)))
