@@ -7,18 +7,15 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SALTS = 8
-
-
 def _smallest(edges: DataFrame) -> DataFrame:
     """Each edge (u, v) with m, the smallest node among u and its neighbours.
 
-    A hub may have a third of all edges: the minimum is pre-aggregated, and comes back in SALTS parts.
+    A hub may have a third of all edges. Its minimum is pre-aggregated by the map tasks and written
+    out, so that the join back has plain exchanges on both sides, which adaptive execution splits
+    where one of them is skewed.
     """
     least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
-    return salted.join(least, ["u", "salt"]).select("u", "v", "m")
+    return edges.join(common.settle(least, "component-least"), "u").select("u", "v", "m")
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -33,7 +30,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _smallest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        own = _smallest(large)
+        own = _smallest(common.settle(large, "component-edges"))
         small = own.select(F.col("v").alias("u"), F.col("m").alias("v")).union(own.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         edges = common.settle(small, "component-edges")
         mark = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
