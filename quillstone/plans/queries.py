@@ -342,10 +342,14 @@ def mom_yoy_lag(spark, sf):
     return series(spark, sf).select("account_code", "accounting_period", F.lag("balance", 1).over(by_account()).cast("double").alias("mom"), F.lag("balance", 12).over(by_account()).cast("double").alias("yoy"))
 
 
-@query(f"WITH {SERIES_SQL} SELECT account_code, accounting_period, round(CAST(sum(balance) OVER w AS DOUBLE) / count(balance) OVER w, 1) AS rolling FROM series WINDOW w AS (PARTITION BY account_code ORDER BY accounting_period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")
+# Half-up rounding in whole cents, as DuckDB's decimal division is binary.
+ROLL_SQL = f"{SERIES_SQL}, rolled AS (SELECT account_code, accounting_period, CAST(sum(balance) OVER w * 100 AS HUGEINT) AS c, count(balance) OVER w AS n FROM series WINDOW w AS (PARTITION BY account_code ORDER BY accounting_period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))"
+
+
+@query(f"WITH {ROLL_SQL} SELECT account_code, accounting_period, CAST(sign(c) * ((2 * abs(c) + n) // (2 * n)) AS DOUBLE) / 100.0 AS rolling FROM rolled")
 def rolling_mean_3(spark, sf):
     w = by_account().rowsBetween(-2, 0)
-    return series(spark, sf).select("account_code", "accounting_period", F.round(F.sum("balance").over(w).cast("double") / F.count("balance").over(w), 1).alias("rolling"))
+    return series(spark, sf).select("account_code", "accounting_period", F.round(F.avg("balance").over(w), 2).cast("double").alias("rolling"))
 
 
 @query(f"WITH {SERIES_SQL} SELECT account_code, accounting_period, CAST(count(balance) OVER (PARTITION BY account_code ORDER BY accounting_period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS INTEGER) AS n FROM series")
