@@ -102,9 +102,12 @@ def piece_starts(kind: np.ndarray, state: np.ndarray) -> np.ndarray:
 class PieceTokenizer:
     """Pieces of texts, their token counts and their ids, for the lower-casing word tokenizer."""
 
-    def __init__(self, model: bytes, keep: int = 400_000):
+    def __init__(self, model: bytes, keep: int = 1_000_000):
         self.tokenizer = Tokenizer.from_str(model.decode())
         self.keep = keep
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special_ids = specials
         self.special = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
@@ -167,7 +170,7 @@ class PieceTokenizer:
         h = np.array([np.uint64(0xFFFF_FFFF_FFFF_0000 + self.special_ids[x] % 0x10000) for x in names], np.uint64)
         missing = [i for i, x in enumerate(h) if x not in self.known]
         if missing:
-            self._learn(h[missing], [[self.special_ids[names[i]]] for i in missing])
+            self._learn(h[missing], np.array([self.special_ids[names[i]] for i in missing], np.uint32), np.ones(len(missing), np.int64))
         rows = dict(zip(names, self._find(h), strict=True))
         return np.array([rows[x] for x in found])
 
@@ -177,15 +180,14 @@ class PieceTokenizer:
         at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
         return np.where(self.known[at] == h, self.row[at], -1)
 
-    def _learn(self, h: np.ndarray, ids: list[list[int]]) -> None:
-        count = np.array([len(x) for x in ids], np.int64)
-        rows = np.arange(len(self.count), len(self.count) + len(ids))
+    def _learn(self, h: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        rows = np.arange(len(self.count), len(self.count) + len(count))
         first = len(self.ids) + np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64)
-        self.ids = np.concatenate([self.ids, np.array([i for x in ids for i in x], np.uint32)])
+        self.ids = np.concatenate([self.ids, ids])
         self.begin, self.count = np.concatenate([self.begin, first]), np.concatenate([self.count, count])
-        known, row = np.concatenate([self.known, h]), np.concatenate([self.row, rows])
-        order = np.argsort(known)
-        self.known, self.row = known[order], row[order]
+        order = np.argsort(h)
+        at = np.searchsorted(self.known, h[order])
+        self.known, self.row = np.insert(self.known, at, h[order]), np.insert(self.row, at, rows[order])
 
     def _rows(self, unique: np.ndarray, codes: np.ndarray, joined: str, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if len(self.count) + len(unique) > self.keep and len(self.count):
@@ -197,12 +199,20 @@ class PieceTokenizer:
             where[codes[::-1]] = np.arange(len(codes))[::-1]
             spans = where[missing]
             texts = [joined[a:b] for a, b in zip(at[spans].tolist(), ends[spans].tolist(), strict=True)]
-            for k in range(0, len(texts), 4096):
-                part = self.tokenizer.encode_batch(texts[k : k + 4096], add_special_tokens=False)
-                self._learn(unique[missing[k : k + 4096]], [x.ids for x in part])
+            parts = [self._encode_pieces(texts[k : k + 4096]) for k in range(0, len(texts), 4096)]
+            self._learn(unique[missing], *(np.concatenate(x) for x in zip(*parts, strict=True)))
             rows = self._find(unique)
         return rows
 
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of them each piece has), from one text of all pieces: a piece's last token ends a word."""
+        ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, np.uint32)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) == len(pieces) and ends[-1] == len(ids):
+            return ids, np.diff(ends, prepend=0)
+        each = [x.ids for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+        return np.array([i for x in each for i in x], np.uint32), np.array([len(x) for x in each], np.int64)
+
     def counts(self, texts: list[str]) -> np.ndarray:
         rows, first = self.pieces(texts)
         total = np.concatenate([[0], np.cumsum(self.count[rows])])
