@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from quillstone.functions.core import OPEN_END, empty_to_null, fingerprint
 
-#: A dimension of at most this many rows may be broadcast; a larger one is joined by month.
+#: A dimension of at most this many rows (counted) may be broadcast.
 BROADCAST_ROWS = 100_000
+#: A key with more versions than this is matched by key and month: equal keys alone would try them all.
+MANY_VERSIONS = 32
 
 
 def scd2(source: DataFrame, natural_key: Sequence[str], attributes: Sequence[str], effective: str, casts: Mapping[str, str] | None = None, nullable: Sequence[str] = ()) -> DataFrame:
@@ -41,28 +43,29 @@ def scd2(source: DataFrame, natural_key: Sequence[str], attributes: Sequence[str
 def asof_join(fact: DataFrame, dim: DataFrame, keys: Mapping[str, str], date: str, how: str = "inner", strategy: str = "auto") -> DataFrame:
     """fact with the dim version that is valid at fact's date: equal keys and date in [valid_from, valid_to].
 
-    keys maps fact columns to dim columns. A dim of at most BROADCAST_ROWS rows (counted) is
-    broadcast. A larger one is cut into months, so that a key with many versions or most of the facts
-    is spread over its months; equal keys alone would bring them into one task.
+    keys maps fact columns to dim columns. By `months`, versions are cut into the months they cover
+    and matched by key and month: a key with many versions tries few of them, and a key with most of
+    the facts is spread over its months. Months after the last one in which any version begins count
+    as that one, so open ends stay finite and only the dim is looked at. `auto` counts the dim: small
+    with few versions per key is broadcast, anything else goes by months, broadcast if the cut dim is
+    small.
     """
     dim = dim.select(*[F.col(c).alias(f"__d_{c}") for c in dim.columns])
     same = [F.col(f) == F.col(f"__d_{d}") for f, d in keys.items()]
     valid = F.col(date).between(F.col("__d_valid_from"), F.col("__d_valid_to"))
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    first = month(F.col("__d_valid_from"))
+    each = dim.groupBy(*[f"__d_{d}" for d in keys.values()]).agg(F.count("*").alias("n"), F.max(first).alias("last"))
+    size = each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.coalesce(F.max("last"), F.lit(0)).alias("last")).first()
     if strategy == "auto":
-        strategy = "broadcast" if dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else "months"
+        strategy = "broadcast" if size["rows"] <= BROADCAST_ROWS and size["most"] <= MANY_VERSIONS else "months"
     if strategy == "broadcast":
-        joined = fact.join(F.broadcast(dim), [*same, valid], how)
-    else:
-        month = lambda c: F.year(c) * 12 + F.month(c)
-        span = fact.agg(F.min(date).alias("lo"), F.max(date).alias("hi")).first()
-        if span["lo"] is None:
-            lo, hi = F.lit(0), F.lit(-1)
-        else:
-            lo, hi = (F.lit(span[k].year * 12 + span[k].month) for k in ("lo", "hi"))
-        first, last = F.greatest(month(F.col("__d_valid_from")), lo), F.least(month(F.col("__d_valid_to")), hi)
-        cut = dim.where(first <= last).withColumn("__d_month", F.explode(F.sequence(first, last)))
-        joined = fact.withColumn("__month", month(F.col(date))).join(cut, [*same, F.col("__month") == F.col("__d_month"), valid], how).drop("__month", "__d_month")
-    return joined
+        return fact.join(F.broadcast(dim), [*same, valid], how)
+    end = F.least(month(F.col("__d_valid_to")), F.lit(size["last"]))
+    n = dim.agg(F.sum(F.greatest(end - first + 1, F.lit(0)))).first()[0] or 0
+    cut = dim.where(first <= end).withColumn("__d_month", F.explode(F.sequence(first, end)))
+    binned = fact.withColumn("__month", F.least(month(F.col(date)), F.lit(size["last"])))
+    return binned.join(F.broadcast(cut) if n <= BROADCAST_ROWS else cut, [*same, F.col("__month") == F.col("__d_month"), valid], how).drop("__month", "__d_month")
 
 
 def renamed(joined: DataFrame, **names: str) -> DataFrame:

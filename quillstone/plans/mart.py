@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillstone.contracts import all_contracts
 from quillstone.operators import gates, ledger
+from quillstone.operators.scd2 import asof_join
 from quillstone.sources import files, raw
 
 PREFIX = "mart__b"
@@ -207,3 +208,13 @@ def replace_flags(flags: DataFrame, warehouse: str, periods: list[str], family:
         else:
             files.delete(spark, f"{root}/{part}")
     files.delete(spark, aside)
+
+
+def periods_of_versions(entries: DataFrame, versions: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """The periods in which entries fall under new dimension versions: what a change of a dimension owes.
+
+    versions has the dimension's key columns, valid_from and valid_to; keys maps entry columns to
+    them. The daily run doesn't use it: there only changed entries owe a judgement.
+    """
+    days = entries.select(*keys, "accounting_date", "accounting_period").distinct()
+    return asof_join(days, versions, keys, "accounting_date").select("accounting_period").distinct()
