@@ -71,4 +71,44 @@ WITH d AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM g
 """
 
-ORACLES = {"op6_exact_dedup": OP6_SQL}
+# A window is held as its words joined by one space, which no word contains.
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS MATERIALIZED (
+  SELECT doc_id, rid, p, array_to_string(w[p:p + 12], ' ') AS body FROM (SELECT doc_id, rid, w, unnest(range(1, len(w) - 11)) AS p FROM d)
+), owner AS (
+  SELECT body, min(doc_id) AS least FROM win GROUP BY body
+), gone AS (
+  SELECT DISTINCT rid, unnest(range(p, p + 13)) AS pos FROM win JOIN owner USING (body) WHERE least < doc_id
+), word AS (
+  SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d
+), left_over AS (
+  SELECT word.rid, count(gone.pos) AS n_removed, string_agg(word, ' ' ORDER BY word.pos) FILTER (WHERE gone.pos IS NULL) AS kept
+  FROM word LEFT JOIN gone USING (rid, pos) GROUP BY word.rid
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (rid)
+"""
+
+# Links by an equality join on shingles, then everything that links lead to.
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS grams FROM d
+), g AS MATERIALIZED (
+  SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s
+), link AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM g AS a JOIN g AS b ON a.gram = b.gram AND a.doc_id <> b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS root FROM s UNION SELECT reach.doc_id, link.y FROM reach JOIN link ON reach.root = link.x
+), least AS (
+  SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN least USING (doc_id)
+"""
+
+ORACLES = {"op3_substring_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op10_near_dedup": OP10_SQL}
