@@ -11,7 +11,8 @@ No bucket is expanded into all pairs, and no link between its members is lost:
 2. Jaccard distance is a metric. Of a bucket in which some members are in other components than the
    pivot, only those members, and the pivot's own members that are near enough to the nearest of
    them, can have links not found yet. These few are compared by the likelihood of their registers,
-   and what may reach the threshold is confirmed within the bucket's task.
+   and what may reach the threshold is confirmed in the task where they meet. Where they are many,
+   they are dealt into blocks of bounded size, and a task holds one pair of blocks.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ BASE = 1.001
 SALTS = 16
 #: A likelihood estimate this far below the threshold rules a pair out (7 standard errors).
 SLACK = 0.2
+#: Shingles and members of a bucket's open part that one block holds; a member counts for its shingles and MEMBER more.
+BLOCK, MEMBER = 2_000_000, 400
 
 _SCALE = np.random.default_rng(20240229).integers(0, 2**63, REGISTERS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND = np.random.default_rng(5).integers(0, 2**63, REGISTERS // ROWS, dtype=np.int64).astype(np.uint64)
@@ -178,22 +181,31 @@ def confirm(docs: DataFrame, pairs: DataFrame, size: int, hub: str = "b") -> Dat
 def _rest(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between members of a bucket that are in different components.
 
-    A task takes one bucket's texts. Registers say which pairs may be linked; those are confirmed on
-    the full sets right there, by counting through an index from shingle to members, and only links
-    that join parts of the bucket not joined before go on: fewer than the bucket has members.
+    A bucket's rows are dealt into as many blocks as its size needs, and a task takes the texts of one
+    pair of blocks (most buckets have one block, which meets itself), so that memory has a bound and a
+    large bucket is shared out. Registers say which pairs may be linked; those are confirmed on the
+    full sets right there, by counting through an index from shingle to members, and only links that
+    join parts not joined before go on: fewer than the task has members.
     """
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(rows, "id")
-    dealt = texts.repartition(common.partitions(docs.sparkSession), "band").sortWithinPartitions("band", "n", "id")
+    weight = rows.groupBy("band").agg(F.ceil(F.sum(F.col("n") + MEMBER) / BLOCK).cast("int").alias("blocks"))
+    placed = rows.join(weight, "band").withColumn("block", F.pmod(F.xxhash64("id", "band"), "blocks").cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("band", "id", "n", "component", "registers", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    keys = ["band", "low", "high"]
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(met, "id")
+    dealt = texts.repartition(common.partitions(docs.sparkSession), *keys).sortWithinPartitions(*keys, "n", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         held: list[tuple] = []
 
         def close() -> list[tuple[int, int]]:
-            ids, n = np.array([r[1] for r in held], np.int64), np.array([len(r[4]) for r in held], np.int64)
+            one_block = held[0][0][1] == held[0][0][2]
+            ids, n = np.array([r[1] for r in held], np.int64), np.array([len(r[5]) for r in held], np.int64)
             _, label = np.unique([r[2] for r in held], return_inverse=True)
-            registers = np.frombuffer(b"".join(r[3] for r in held), "<u2").reshape(-1, REGISTERS)
-            sets = [r[4] for r in held]
+            block = np.array([r[3] for r in held])
+            registers = np.frombuffer(b"".join(r[4] for r in held), "<u2").reshape(-1, REGISTERS)
+            sets = [r[5] for r in held]
             held.clear()
             member = np.repeat(np.arange(len(ids)), n)
             values, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -202,7 +214,7 @@ def _rest(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
             edge = np.concatenate([[0], np.cumsum(n)])
             out = []
             for i in range(1, len(ids)):
-                able = np.flatnonzero((label[:i] != label[i]) & (n[:i] * 100 >= n[i] * percent))
+                able = np.flatnonzero((label[:i] != label[i]) & (n[:i] * 100 >= n[i] * percent) & (one_block | (block[:i] != block[i])))
                 if not len(able):
                     continue
                 greater, smaller = (registers[able] > registers[i]).sum(1), (registers[able] < registers[i]).sum(1)
@@ -220,9 +232,9 @@ def _rest(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
             return out
 
         for batch in common.slices(batches, "text", 1 << 20):
-            bands, ids, parts, registers = (batch.column(k).to_pylist() for k in (0, 1, 2, 3))
+            band, low, high, ids, parts, blocks, registers = (batch.column(k).to_pylist() for k in range(7))
             out = []
-            for row in zip(bands, ids, parts, registers, shingle_sets(batch.column(4), size), strict=True):
+            for row in zip(zip(band, low, high, strict=True), ids, parts, blocks, registers, shingle_sets(batch.column(7), size), strict=True):
                 if held and held[0][0] != row[0]:
                     out += close()
                 held.append(row)
@@ -231,7 +243,7 @@ def _rest(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
         if held and (out := close()):
             yield common.batch_of(schema, *zip(*out, strict=True))
 
-    return dealt.select("band", "id", "component", "registers", "text").mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    return dealt.select(*keys, "id", "component", "block", "registers", "text").mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -109,6 +109,13 @@ def test_op10_finds_links_that_avoid_the_pivot(rows):
     check_near(rows("doc_id long, text string", *chain), chain, 2)
 
 
+def test_op10_deals_a_large_open_bucket_into_blocks(rows, monkeypatch):
+    """Chains whose ends meet no pivot, in as many blocks as members: no link may be lost between blocks."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 400)
+    chains = [(1000 * (c + 1) + (7 * k) % 13 + (0 if k != 6 else -900), " ".join(f"t{c}_{i}" for i in range(3 * k, 3 * k + 60))) for c in range(2) for k in range(13)]
+    check_near(rows("doc_id long, text string", *chains), chains, 2)
+
+
 def test_op10_survivors(awkward, corpus, rows):
     kept = near_dedup.keep_one_of_each(awkward)
     assert kept.columns == awkward.columns and kept.where("doc_id is null").count() == 2
