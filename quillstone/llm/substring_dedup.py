@@ -116,7 +116,7 @@ def windows(h: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.n
 
 _ENTRY_DDL = "bucket int, docs binary, runs binary, codes binary, doc_id long, row_key long, hub long, hub_key long, starts binary"
 _ENTRY = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in ("docs", "runs", "codes")), *((n, pa.int64()) for n in ("doc_id", "row_key", "hub", "hub_key")), ("starts", pa.binary())])
-_RUN = np.dtype([("anchor", "<u8"), ("doc", "<u4"), ("at", "<u4"), ("n", "u1")])
+_RUN = np.dtype([("doc", "<u4"), ("at", "<u4"), ("n", "u1")])
 _SPAN_DDL = "doc_id long, row_key long, hub long, hub_key long, starts binary"
 _SPAN = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("hub", pa.int64()), ("hub_key", pa.int64()), ("starts", pa.binary())])
 _PACK_DDL = "home int, pairs binary, starts binary"
@@ -183,13 +183,14 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                 blobs = [x.astype("<u4").tobytes() for x in np.split(starts, np.cumsum(n)[:-1])]
                 yield common.batch_of(_ENTRY, np.arange(len(own)) % buckets, none, none, none, ids[own], keys[own], ids[hub], keys[hub], blobs)
             stay = np.flatnonzero(~later)
-            code, anchor, doc, at = code[stay], anchor[stay], doc[stay], at[stay]
-            begins = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)]))
+            code, doc, at = code[stay], doc[stay], at[stay]
+            home = (anchor[stay] % np.uint64(buckets)).astype(np.int64)
+            begins = np.flatnonzero(np.concatenate([[True], (home[1:] != home[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1] + 1)]))
             count = np.diff(np.append(begins, len(code)))
             parts = -(-count // 255)  # a run's length takes one byte; periodic text has longer runs
             within = _spread(np.zeros(len(begins), np.int64), parts) * 255
             begins, count = np.repeat(begins, parts) + within, np.minimum(255, np.repeat(count, parts) - within)
-            home = (anchor[begins] % np.uint64(buckets)).astype(np.int64)
+            home = home[begins]
             order = np.argsort(home, kind="stable")
             edge = np.searchsorted(home[order], np.arange(buckets + 1))
             for b in range(buckets):
@@ -198,12 +199,12 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                     continue
                 used, number = np.unique(doc[begins[own]], return_inverse=True)
                 packed = np.empty(len(own), _RUN)
-                packed["anchor"], packed["doc"], packed["at"], packed["n"] = anchor[begins[own]], number, at[begins[own]], count[own]
-                low = code[_spread(begins[own], count[own])].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :3]
+                packed["doc"], packed["at"], packed["n"] = number, at[begins[own]], count[own]
+                codes = code[_spread(begins[own], count[own])].astype("<u8").tobytes()
                 blob = np.stack([ids[used], keys[used]]).astype("<i8").tobytes()
                 # Field by field, so that like bytes stand together.
                 fields = b"".join(np.ascontiguousarray(packed[f]).tobytes() for f in _RUN.names)
-                yield common.batch_of(_ENTRY, [b], [blob], [fields], [low.tobytes()], [None], [None], [None], [None], [None])
+                yield common.batch_of(_ENTRY, [b], [blob], [fields], [codes], [None], [None], [None], [None], [None])
 
         for batch in common.slices(batches, "text"):
             words = common.Words(batch.column(1))
@@ -246,12 +247,11 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                         column = np.frombuffer(fields, kind, n, skip)
                         parts[f].append(column + base[k] if f == "doc" else column)
                         skip += n * kind.itemsize
-                anchor, doc, at, count = (np.concatenate(parts[f]) for f in _RUN.names)
+                doc, at, count = (np.concatenate(parts[f]) for f in _RUN.names)
                 count = count.astype(np.int64)
-                low = np.frombuffer(b"".join(c for _, _, c in held), np.uint8).reshape(-1, 3).astype(np.uint64)
+                # Whole codes: windows that are taken for equal are sent to one document, so others under their code would be lost.
+                code = np.frombuffer(b"".join(c for _, _, c in held), "<u8")
                 held.clear()
-                code = np.repeat(anchor, count) + common.mix(low[:, 0] | low[:, 1] << np.uint64(8) | low[:, 2] << np.uint64(16))
-                del low
                 # Documents numbered in the order of their ids: the first of equal codes is the smallest.
                 rank = np.empty(len(ids), np.int64)
                 by_id = np.lexsort((keys, ids))

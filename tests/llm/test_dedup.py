@@ -1,8 +1,11 @@
 """Exact, near and passage deduplication against brute force."""
 
+import collections
 import hashlib
 import itertools
 
+import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -174,3 +177,27 @@ def test_op3(rows, awkward, empty, corpus, monkeypatch):
     monkeypatch.setattr(substring_dedup, "SEGMENT_WORDS", 200)
     check_passages(rows("doc_id long, text string", *corpus).repartition(2), corpus)
     assert substring_dedup.remove_repeats(empty).count() == 0
+
+
+def test_op3_windows_of_one_anchor_with_equal_low_bits(rows):
+    """Different windows around one 5-gram, alike in the low 24 bits of their hashes: the smallest document has only the look-alike."""
+    def hashed(words, window=13):
+        return substring_dedup.windows(substring_dedup.common.Words(pa.array([" ".join(words)])).hashes(), window)
+
+    many = [f"g{i}" for i in range(20_000)]
+    k = int(np.argmin(hashed(many, 5)[0]))  # a 5-gram that is the anchor of nearly every window around it
+    gram = many[k : k + 5]
+    words = lambda k: [*(f"a{k}_{j}" for j in range(4)), *gram, *(f"z{k}_{j}" for j in range(4))]
+    code, anchor = (x[::13] for x in hashed([w for k in range(20_000) for w in words(k)]))
+    common_anchor = collections.Counter(anchor.tolist()).most_common(1)[0][0]
+    seen, pairs = {}, []
+    for k in np.flatnonzero(anchor == common_anchor).tolist():
+        other = seen.setdefault(int(code[k]) & 0xFFFFFF, k)
+        if other != k:
+            pairs.append((other, k))
+    assert pairs
+    data = []
+    for i, (x, y) in enumerate(pairs):
+        data += [(i, " ".join(words(x))), (1000 + i, " ".join(["first", *words(y)])), (2000 + i, " ".join(["second", *words(y)]))]
+    docs = rows("doc_id long, text string", *data).repartitionByRange(3, "doc_id")  # in one segment whole hashes are compared
+    check_passages(docs, data)
