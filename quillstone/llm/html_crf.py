@@ -30,6 +30,7 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
 PARAGRAPH_ENDS = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 _TOKEN = regex.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", regex.S)
+_RAW_END = {name: regex.compile(rf"</{name}(?=[\s/>])[^>]*>?", regex.I) for name in RAW}
 _NAME = regex.compile(r"</?([A-Za-z][^\s/>]*)")
 _NAMED = regex.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", regex.I)
 _WORDS = regex.compile(r"[a-z]+")
@@ -48,8 +49,7 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
-    linked, links, hidden = 0, 0, 0
-    raw = ""
+    linked, links, hidden, at = 0, 0, 0, 0
 
     def close() -> None:
         nonlocal linked
@@ -64,12 +64,8 @@ def blocks(html: str) -> list[Block]:
         while len(stack) > depth:
             hidden -= stack.pop()[0] in HIDDEN
 
-    for m in _TOKEN.finditer(html):
-        token = m[0]
-        if raw:
-            name = _NAME.match(token) if token.startswith("</") else None
-            if name is None or name[1].lower() != raw:
-                continue
+    while m := _TOKEN.match(html, at):
+        token, at = m[0], m.end()
         if token[0] != "<" or len(token) == 1:
             if not hidden:
                 parts.append(token)
@@ -80,16 +76,14 @@ def blocks(html: str) -> list[Block]:
             continue
         name = name_match[1].lower()
         if token[1] == "/":
-            if name == raw:
-                raw = ""
             if name == "a":
                 links = max(0, links - 1)
             if name in INLINE:
                 continue
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             close()
-            if at is not None:
-                leave(at)
+            if depth is not None:
+                leave(depth)
                 links = 0
             continue
         if name == "br" or name == "wbr":
@@ -107,8 +101,12 @@ def blocks(html: str) -> list[Block]:
         names = " ".join(x[2].strip("\"'").lower() for x in _NAMED.finditer(token)) if len(token) > len(name) + 2 else ""
         stack.append((name, names))
         hidden += name in HIDDEN
-        if name in RAW:
-            raw = name
+        if name in RAW:  # holds no tags: only its own end tag counts, wherever it stands
+            end = _RAW_END[name].search(html, at)
+            if end is None:
+                break
+            at = end.end()
+            leave(len(stack) - 1)
     close()
     return out
 

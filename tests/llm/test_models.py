@@ -162,6 +162,17 @@ def test_op8_rows(rows):
     assert html_crf.extract_pages(rows("page_id long, url string, html string")).count() == 0
 
 
+def test_op8_raw_elements_end_at_their_own_end_tag(rows):
+    loops = ["<script>for(i=0;i<n;i++){f(i)}</script>", "<SCRIPT>if(a<b)s='it\"s</p>'</Script >", "<style>p::before{content:'</script>\"'}</style>", "<textarea>x<y \"</textareas></textarea>"]
+    body = "<p>One two three words of the main text.</p>{}<p>Four five six words of the same text.</p>"
+    for loop in loops:
+        page = f"<html><head>{loop}</head><body>{loop}<article>{body.format(loop)}</article>{loop}</body></html>"
+        assert [b.text for b in html_crf.blocks(page)] == ["One two three words of the main text.", "Four five six words of the same text."], loop
+    got = html_crf.extract_pages(rows("page_id long, url string, html string", (1, "u", f"{loops[0]}<article>{body.format(loops[0])}</article>"))).collect()
+    assert got[0].text == "One two three words of the main text.\n\nFour five six words of the same text."
+    assert [b.text for b in html_crf.blocks("<p>kept</p><script>if(a<b){}</scripts><p>never ends</p>")] == ["kept"]
+
+
 def test_op8_viterbi_is_the_best_path():
     chain = html_crf.default_chain()
     page = html_crf.labelled_pages(1, seed=3)[0][0][:8]
