@@ -4,16 +4,20 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from quillstone.llm import hmm_lm, html_crf, quality, secrets
 
 from .conftest import AWKWARD
+from .test_dedup import brute_exact, brute_near
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SF = "/root/testdata/sf0.001"
@@ -197,6 +201,44 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, SF).select("doc_id").distinct().count() == docs.count()
 
 
+def test_pipeline_rows_after_each_stage(spark, tmp_path):
+    """Every row that a stage keeps, drops or masks, by brute force; without labels the base rules alone judge."""
+    rnd = random.Random(3)
+    write = lambda n: " ".join(f"{rnd.choice('abcdefgh')}{rnd.randrange(400)}" for _ in range(n))
+    live, copied = "Zx9Zx9Zx9Zx9Zx9Zx9Zx9", "q1w2e3r4t5y6u7i8o9p0zz"
+    texts = [write(n) for n in (49, 50, 51, 60, 200, 300, 3000, 10, 0)] + ["so it goes " * 40, write(60) + " so it goes" * 19, write(60) + " so it goes" * 21]
+    texts += [texts[4].replace(" ", "\n"), texts[4].replace(" ", "  ", 7), texts[5].replace(texts[5].split()[100], "other"), texts[4] + " more", write(80) + f" key {live} end"]
+    texts += [f"{write(90)} copied {copied}" for _ in range(4)]
+    ids = rnd.sample(range(1000), len(texts))
+    docs = [(i, t, "en", f"s{n % 4}", len(t)) for n, (i, t) in enumerate(zip(ids, texts, strict=True))] + [(None, write(70), "en", "s0", 1)]
+    ddl = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(docs, ddl).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    def good(d):
+        b = brute_statistics(d[1])
+        return not (b[0] < 50 or 100 * b[4] > 50 * b[0])
+
+    want = {"quality": [d for d in docs if good(d)]}
+    keep = {r[1] for r in brute_exact([d[:2] for d in want["quality"]])[0]}
+    want["exact_dedup"] = [d for d in want["quality"] if d[0] in keep]
+    near = {i for i, _, c in brute_near([d[:2] for d in want["exact_dedup"]], 5) if i == c}
+    want["near_dedup"] = [d for d in want["exact_dedup"] if d[0] in near]
+    want["secrets"] = [(i, t.replace(live, "[SECRET]"), lang, source, len(t.replace(live, "[SECRET]")) if live in t else n) for i, t, lang, source, n in want["near_dedup"]]
+    assert len(docs) > len(want["quality"]) > len(want["exact_dedup"]) > len(want["near_dedup"]) and want["secrets"] != want["near_dedup"]
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = corpus_pipeline.common.settle(stage(spark, now, str(tmp_path)), f"rows-{name}")
+        assert sorted(map(str, map(tuple, now.collect()))) == sorted(map(str, want[name])), name
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.WORD_MODEL))
+    pieces = []
+    for i, t, *_ in want["secrets"]:
+        own = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4")
+        pieces += [(i, k // 2048, k, len(own[k : k + 2048]), zlib.crc32(own[k : k + 2048].tobytes())) for k in range(0, len(own), 2048)]
+    got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, pieces))
+
+
 @pytest.mark.parametrize("stage", corpus_pipeline.STAGES)
 def test_stages_take_awkward_and_empty_rows(spark, awkward, stage):
     stage[1](spark, awkward, SF).collect()
