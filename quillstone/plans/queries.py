@@ -527,6 +527,15 @@ def row_checksum_digest(spark, sf):
     return checksum(_t(spark, sf, "nation"), ["n_name", "n_nationkey"])
 
 
+@query()
+def row_checksum_rolling(spark, sf):
+    """The digest that every task folds, over the largest table. DuckDB has no xxhash64; a test compares with the library."""
+    from quillstone.sources.raw import rolling_checksum
+
+    lines = _t(spark, sf, "lineitem")
+    return rolling_checksum(lines, lines.columns)
+
+
 # ---- the anomaly layer ----
 
 PANEL_SQL = f"{BALANCE_SQL}, panel AS (SELECT {GRAIN}, CAST(restated AS DOUBLE) AS balance FROM compared)"

@@ -2,9 +2,12 @@
 
 import datetime
 import decimal
+import struct
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
+import xxhash
 
 from quillstone.plans.queries import ORACLES, QUERIES
 
@@ -48,3 +51,21 @@ def test_oracle(spark, duck, name):
 def test_flags_have_the_declared_columns(spark):
     flags = QUERIES["quantile_interval_flags"](spark, SF)
     assert {"score", "side", "model_family", "run_id"} <= set(flags.columns)
+
+
+def test_rolling_checksum_of_a_large_table(spark):
+    """Every row's hash, column by column with the hash so far as seed, by the library."""
+    table = pq.read_table(f"{SF}/lineitem.parquet")
+    columns = []
+    for name, kind in zip(table.column_names, table.schema.types, strict=True):
+        values = table[name].cast("int64").to_pylist() if str(kind).startswith("timestamp") else table[name].to_pylist()
+        form = {"int32": "<i", "double": "<d"}.get(str(kind), "<q")
+        columns.append([v.encode() if isinstance(v, str) else struct.pack(form, v) for v in values])
+    total = 0
+    for row in zip(*columns, strict=True):
+        h = 42
+        for data in row:
+            h = xxhash.xxh64_intdigest(data, h)
+        total += h - (h >> 63 << 64)
+    got = QUERIES["row_checksum_rolling"](spark, SF).first()
+    assert (got.checksum, got.n_rows) == (str(total), table.num_rows)
