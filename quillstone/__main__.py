@@ -78,9 +78,9 @@ def main(argv: list[str] | None = None) -> int:
                     print(f"{r.table}: {r.rows_read} read, {r.inserted} inserted, {r.updated} updated, {r.evicted} moved")
             elif a.command == "affected":
                 held = loader.Affected.load(spark, a.raw)
-                print(json.dumps({"periods": sorted(held.periods), "dimension_versions": len(held.versions)}))
+                print(json.dumps({"periods": sorted(held.periods), "dimension_versions": held.versions(spark).count()}))
                 if a.clear:
-                    loader.Affected.clear(spark, a.raw)
+                    held.clear(spark, a.raw)
             elif a.command == "runs":
                 for r in runlog.RunLog(spark, a.raw).runs(None if a.run else a.limit):
                     if a.run in (None, r.run_id):

@@ -48,18 +48,27 @@ def moved_keys(old: DataFrame, new: DataFrame, keys: Sequence[str], home: str) -
     return both.select(*[F.col(f"new.{k}").alias(k) for k in keys], F.col(f"old.{home}").alias(f"old_{home}"), F.col(f"new.{home}").alias(f"new_{home}"))
 
 
+def compared(new: DataFrame, old: DataFrame, keys: Sequence[str], columns: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """new with its outcome (inserted, updated or same), the names of changed columns, and old's `carry` columns as __old_<name>.
+
+    One left join from new's side: rows that only old has are not looked at.
+    """
+    there = old.select(*keys, *[c for c in columns if c not in keys], *carry)
+    both = _paired(there, new, keys, "right")
+    changed = F.array_compact(F.array(*[F.when(~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")), F.lit(c)) for c in columns]))
+    outcome = F.when(F.col("__old").isNull(), "inserted").when(F.size("__changed") > 0, "updated").otherwise("same")
+    wide = both.select(*[F.col(f"new.{c}").alias(c) for c in new.columns], "__old", changed.alias("__changed"), *[F.col(f"old.{c}").alias(f"__old_{c}") for c in carry])
+    return wide.withColumns({"outcome": outcome, "columns_changed": F.when(F.col("__old"), F.col("__changed")).otherwise(F.array().cast("array<string>"))}).drop("__old", "__changed")
+
+
 def restated_columns(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """For rows that must not change: (keys, columns_changed) of those that do."""
-    both = _paired(old, new, keys, "inner").where(differs(columns))
-    names = F.array_compact(F.array(*[F.when(~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")), F.lit(c)) for c in columns]))
-    return both.select(*[F.col(f"new.{k}").alias(k) for k in keys], names.alias("columns_changed"))
+    return compared(new, old, keys, columns).where("outcome = 'updated'").select(*keys, "columns_changed")
 
 
-def first_seen(new: DataFrame, prior: DataFrame, keys: Sequence[str], run_id: str) -> DataFrame:
-    """new with `_first_run_id` of the prior row of its key (or this run) and `_last_run_id` of this run."""
-    known = prior.select(*keys, F.col("_first_run_id").alias("__first"))
-    found = new.join(known, list(keys), "left")
-    return found.withColumns({"_first_run_id": F.coalesce("__first", F.lit(run_id)), "_last_run_id": F.lit(run_id)}).drop("__first")
+def stamped(found: DataFrame, columns: Sequence[str], run_id: str) -> DataFrame:
+    """Rows of `compared` (carry: _first_run_id) with the run that first brought their key, and this run as the last."""
+    return found.select(*columns, F.coalesce("__old__first_run_id", F.lit(run_id)).alias("_first_run_id"), F.lit(run_id).alias("_last_run_id"))
 
 
 def numbered(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

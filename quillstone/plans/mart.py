@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from quillstone.contracts import all_contracts
 from quillstone.operators import gates, ledger
 from quillstone.operators.scd2 import asof_join
-from quillstone.sources import files, raw
+from quillstone.sources import files, parts, raw
 
+# Model, gate and column names, and the prefix of a build's name.
 PREFIX = "mart__b"
+#: Seconds that a promotion waits for another one.
+LOCK_TIMEOUT = 30.0
 COUNTED = ("dim_account", "dim_cost_center", "dim_fx_rate", "dim_vendor", "fct_gl_entry", "fct_gl_adjustment", "agg_monthly_balance")
 
 
@@ -39,6 +42,10 @@ class MartUnavailable(LookupError):
     pass
 
 
+class WrongWarehouse(RuntimeError):
+    pass
+
+
 class GatesFailed(RuntimeError):
     def __init__(self, failed: dict[str, int]):
         super().__init__(f"gates failed: {failed}")
@@ -89,11 +96,24 @@ def prepare(spark: SparkSession, warehouse: str, run_id: str) -> str:
     return build
 
 
-def promote(spark: SparkSession, warehouse: str, build: str) -> None:
-    """Publish a build: one atomic change of the pointer. A build that doesn't exist is refused."""
-    if not files.exists(spark, f"{warehouse}/{build}/agg_monthly_balance"):
-        raise MartUnavailable(f"{build} was not built")
-    files.write_text(spark, f"{warehouse}/_CURRENT", build)
+def claim(spark: SparkSession, warehouse: str, root: str) -> None:
+    """Bind a warehouse to the raw layer it is built from; a warehouse of another one is refused."""
+    own = files.read_text(spark, f"{warehouse}/_SOURCE")
+    if own is None:
+        files.write_text(spark, f"{warehouse}/_SOURCE", root)
+    elif own != root:
+        raise WrongWarehouse(f"{warehouse} is built from {own}, not from {root}")
+
+
+def promote(spark: SparkSession, warehouse: str, build: str, lock_timeout: float = LOCK_TIMEOUT) -> None:
+    """Publish a build: one atomic change of the pointer, under a lock that is waited for `lock_timeout` seconds at most.
+
+    A build that doesn't exist is refused. On any failure the published build stays.
+    """
+    with files.lock(spark, f"{warehouse}/_publishing", lock_timeout):
+        if not files.exists(spark, f"{warehouse}/{build}/agg_monthly_balance/_SUCCESS"):
+            raise MartUnavailable(f"{build} was not built")
+        files.write_text(spark, f"{warehouse}/_CURRENT", build)
 
 
 def sweep(spark: SparkSession, warehouse: str, keep: int = 1) -> list[str]:
@@ -156,6 +176,7 @@ def build_and_promote(spark: SparkSession, root: str, warehouse: str, run_id: st
     A model whose gate fails stops what stands on it: those models are skipped. Failing rows are kept
     under the build's audit folder. On red the published build stays as it was.
     """
+    claim(spark, warehouse, root)
     landing = landing or landing_of(spark, root)
     build = prepare(spark, warehouse, run_id)
     audit = f"{warehouse}/{build}_audit"
@@ -188,33 +209,57 @@ def build_and_promote(spark: SparkSession, root: str, warehouse: str, run_id: st
 # ---- anomaly flags ----
 
 
-def balances(spark: SparkSession, warehouse: str) -> DataFrame:
-    return published(spark, warehouse, "agg_monthly_balance").select("account_code", "cost_center_code", "accounting_period", F.col("balance_as_restated").alias("balance"))
+def balances(spark: SparkSession, warehouse: str, ordered: bool = False) -> DataFrame:
+    """The restated balance of the published build; `ordered` by account, centre and period."""
+    rows = published(spark, warehouse, "agg_monthly_balance").select("account_code", "cost_center_code", "accounting_period", F.col("balance_as_restated").alias("balance"))
+    return rows.orderBy("account_code", "cost_center_code", "accounting_period") if ordered else rows
 
 
 def replace_flags(flags: DataFrame, warehouse: str, periods: list[str], family: str) -> None:
-    """Put the flags of the judged periods in place; a judged period without flags is emptied."""
-    spark = flags.sparkSession
-    if not periods:
-        return
-    root = f"{warehouse}/anomaly_flag"
-    aside = f"{warehouse}/_anomaly_staging"
-    files.delete(spark, aside)
-    flags.write.partitionBy("model_family", "accounting_period").parquet(aside)
-    for p in periods:
-        part = f"model_family={family}/accounting_period={p}"
-        if files.exists(spark, f"{aside}/{part}"):
-            files.move(spark, f"{aside}/{part}", f"{root}/{part}")
-        else:
-            files.delete(spark, f"{root}/{part}")
-    files.delete(spark, aside)
+    """Put the flags of the judged periods in place, all in one change; a judged period without flags is emptied."""
+    if periods:
+        kept = flags.where(F.col("accounting_period").isin(*periods) & (F.col("model_family") == family))
+        parts.replace(kept, f"{warehouse}/anomaly_flag", ("model_family", "accounting_period"), [f"{family}/{p}" for p in periods])
+
+
+def read_flags(spark: SparkSession, warehouse: str) -> DataFrame | None:
+    """All flags in place; None if nothing has been judged."""
+    base = f"{warehouse}/anomaly_flag"
+    found = []
+    for part, folder in parts.held(spark, base).items():
+        family, _, period = part.partition("/")
+        found.append((family, period, f"{base}/{folder}"))
+    out = None
+    for family, period, path in found:
+        rows = spark.read.parquet(path).withColumns({"model_family": F.lit(family), "accounting_period": F.lit(period)})
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+#: Source table of a dimension -> its model, its key there, and the column of the facts that refers to it.
+DIMENSIONS = {"dim_account_src": ("dim_account", "account_code", "account_code"), "dim_cost_center_src": ("dim_cost_center", "cc_code", "cost_center_code"), "fx_rate": ("dim_fx_rate", "currency", "currency")}
+
+
+def owed_by_versions(spark: SparkSession, warehouse: str, versions: DataFrame) -> list[str]:
+    """The periods in which published entries fall under new versions (table, key, effective_date) of a dimension.
+
+    A version that changes nothing has collapsed into the one before it and owes none.
+    """
+    used = ["accounting_date", "accounting_period", *{c for _, _, c in DIMENSIONS.values()}]
+    facts = published(spark, warehouse, "fct_gl_entry").select(*used).unionByName(published(spark, warehouse, "fct_gl_adjustment").select(*used))
+    found = None
+    for table, (model, key, column) in DIMENSIONS.items():
+        new = versions.where(F.col("table") == table).select(F.col("key")[0].alias(key), F.col("effective_date").cast("date").alias("valid_from"))
+        rows = published(spark, warehouse, model).join(new, [key, "valid_from"], "left_semi")
+        own = periods_of_versions(facts, rows, {column: key})
+        found = own if found is None else found.unionByName(own)
+    return sorted(r[0] for r in found.distinct().collect())  # months
 
 
 def periods_of_versions(entries: DataFrame, versions: DataFrame, keys: dict[str, str]) -> DataFrame:
     """The periods in which entries fall under new dimension versions: what a change of a dimension owes.
 
-    versions has the dimension's key columns, valid_from and valid_to; keys maps entry columns to
-    them. The daily run doesn't use it: there only changed entries owe a judgement.
+    versions has the dimension's key columns, valid_from and valid_to; keys maps entry columns to them.
     """
     days = entries.select(*keys, "accounting_date", "accounting_period").distinct()
     return asof_join(days, versions, keys, "accounting_date").select("accounting_period").distinct()

@@ -27,8 +27,10 @@ class Context:
     raw: str
     warehouse: str
     run_id: str
-    periods: Sequence[str] | None = None
+    periods: Sequence[str] | None = None  # the range reported on
     family: str = "quantile_linear"
+    force: bool = False  # judge the whole range, owed or not
+    owed: loader.Affected | None = None  # what this run judges, to be cleared at its end
 
 
 @dataclass(frozen=True)
@@ -68,9 +70,20 @@ def _build(c: Context) -> dict:
 
 
 def _judge(c: Context) -> dict:
-    """Judge what is owed: the closure of the dirty periods, or the periods asked for."""
-    owed = sorted(loader.Affected.load(c.spark, c.raw).periods)
-    periods = list(c.periods) if c.periods else closure(owed)
+    """Judge the range (force), or the closure of what is owed as far as it lies within the range.
+
+    Owed are the periods whose content has changed and those whose entries fall under new versions of
+    a dimension.
+    """
+    if c.force and not c.periods:
+        raise ValueError("a range of periods is needed to force")
+    c.owed = loader.Affected.load(c.spark, c.raw)
+    if c.force:
+        periods = list(c.periods)
+    else:
+        owed = c.owed.periods | set(mart.owed_by_versions(c.spark, c.warehouse, c.owed.versions(c.spark)) if c.owed.folders else ())
+        first, last = (min(c.periods), max(c.periods)) if c.periods else ("", max(owed, default=None))
+        periods = [p for p in closure(owed, last=last) if p >= first]
     balances = mart.balances(c.spark, c.warehouse)
     there = {r[0] for r in balances.select("accounting_period").distinct().collect()}
     judged = [p for p in periods if p in there and sum(q < p for q in there) > max(quantile.LAGS)]
@@ -81,9 +94,9 @@ def _judge(c: Context) -> dict:
 
 
 def _clear(c: Context) -> dict:
-    n = len(loader.Affected.load(c.spark, c.raw).periods)
-    loader.Affected.clear(c.spark, c.raw)
-    return {"cleared": n}
+    owed = c.owed or loader.Affected.load(c.spark, c.raw)
+    owed.clear(c.spark, c.raw)
+    return {"cleared": len(owed.periods)}
 
 
 BACKFILL = [Step("mart-load", _mart_load), Step("dbt-build", _build), Step("judge", _judge), Step("clear-affected", _clear)]

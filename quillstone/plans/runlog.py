@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import json
 import secrets
+import urllib.parse
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -40,26 +41,41 @@ class Run:
 
 
 class RunLog:
-    """Events: started, step_started, step_finished, finished. A run without an end was interrupted."""
+    """Events: started, step_started, step_finished, finished. A run without an end was interrupted.
+
+    Each event is a file of its own, flushed to disk and never rewritten: a folder per run, numbered
+    in order. So recording an event costs the same however many there are, and writers of different
+    runs can't lose each other's.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.path = spark, f"{root}/_state/runs.jsonl"
+        self.spark, self.path = spark, f"{root}/_state/runs"
 
-    def append(self, event: str, run_id: str, **detail) -> None:
-        at = datetime.datetime.now(datetime.UTC).isoformat()
-        line = json.dumps({"event": event, "run_id": run_id, "at": at, **detail}, sort_keys=True)
-        fold([*self.events(), json.loads(line)])  # an event that doesn't fit is refused before it is written
-        files.append_text(self.spark, self.path, line + "\n")
+    def _folder(self, run_id: str) -> str:
+        return f"{self.path}/{urllib.parse.quote(run_id, safe='')}"
 
-    def events(self) -> list[dict]:
+    def append(self, event: str, run_id: str, **detail) -> None:
+        while True:
+            own = self._events(run_id)
+            entry = {"event": event, "run_id": run_id, "at": datetime.datetime.now(datetime.UTC).isoformat(), **detail}
+            fold([*own, json.loads(json.dumps(entry))])  # an event that doesn't fit is refused before it is written
+            if files.append_numbered(self.spark, self._folder(run_id), len(own) + 1, json.dumps(entry, sort_keys=True)):
+                return
+
+    def _events(self, run_id: str) -> list[dict]:
         out = []
-        for n, line in enumerate((files.read_text(self.spark, self.path) or "").splitlines(), 1):
+        for name, text in files.read_numbered(self.spark, self._folder(run_id)):
             try:
-                out.append(json.loads(line))
+                out.append(json.loads(text))
             except ValueError as error:
-                raise LogError(f"{self.path}:{n} is not JSON") from error
+                raise LogError(f"{run_id}/{name} is not JSON") from error
         return out
 
+    def events(self) -> list[dict]:
+        """All events, by time."""
+        runs = [urllib.parse.unquote(n) for n in files.names(self.spark, self.path)]
+        return sorted((e for r in runs for e in self._events(r)), key=lambda e: e["at"])
+
     def runs(self, limit: int | None = None) -> list[Run]:
         """Newest first."""
         found = list(fold(self.events()).values())[::-1]

@@ -1,12 +1,29 @@
-"""Files and folders by Spark's own file systems, so that any store it can read will do."""
+"""Files and folders by Spark's own file systems, so that any store it can read will do.
+
+State is kept as numbered versions under a folder of its name: a version is written aside and renamed
+to a number that does not exist yet, and readers take the newest. Nothing that a reader may need is
+deleted first, so a stop at any point leaves the old state or the new one.
+"""
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+class Conflict(RuntimeError):
+    """Another writer has published a version in between."""
+
+
+class LockTimeout(RuntimeError):
+    pass
+
+
 def _at(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -28,21 +45,26 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Replace target by source; the parent folder is made."""
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename to a name that does not exist; False if it does. The parent folder is made."""
     fs, p = _at(spark, source)
     to = _at(spark, target)[1]
     fs.mkdirs(to.getParent())
-    if fs.exists(to):
-        fs.delete(to, True)
-    if not fs.rename(p, to):
-        raise OSError(f"{source} could not be moved to {target}")
+    return not fs.exists(to) and fs.rename(p, to)
 
 
-def read_text(spark: SparkSession, path: str) -> str | None:
+def _write_whole(spark: SparkSession, path: str, text: str, new: bool = False) -> None:
+    fs, p = _at(spark, path)
+    stream = fs.create(p, not new)
+    try:
+        stream.write(bytearray(text.encode()))
+        stream.hsync()
+    finally:
+        stream.close()
+
+
+def _read_whole(spark: SparkSession, path: str) -> str:
     fs, p = _at(spark, path)
-    if not fs.exists(p):
-        return None
     stream = fs.open(p)
     try:
         return bytes(b & 0xFF for b in stream.readAllBytes()).decode()
@@ -50,6 +72,88 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n) for n in names(spark, path) if n.isdigit())
+
+
+def version(spark: SparkSession, path: str) -> int:
+    """The number of the newest version of a state; 0 without one."""
+    return max(_versions(spark, path), default=0)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The newest version of a state; None without one."""
+    for _ in range(20):  # a version may be superseded and removed between listing and reading
+        newest = version(spark, path)
+        if not newest:
+            return None
+        try:
+            return _read_whole(spark, f"{path}/{newest:012d}")
+        except Py4JJavaError:
+            if version(spark, path) == newest:
+                raise
+    raise Conflict(f"{path} changes faster than it can be read")
+
+
+def write_text(spark: SparkSession, path: str, text: str, after: int | None = None) -> int:
+    """Publish a new version of a state and return its number; the one before is kept for readers that hold its name.
+
+    With `after`, Conflict is raised if the newest version is another one than that.
+    """
+    aside = f"{path}/.{uuid.uuid4().hex}"
+    _write_whole(spark, aside, text)
+    while True:
+        number = (version(spark, path) if after is None else after) + 1
+        if (after is None or version(spark, path) == after) and rename_new(spark, aside, f"{path}/{number:012d}"):
+            break
+        if after is not None:
+            delete(spark, aside)
+            raise Conflict(f"{path}: another version than {after} is the newest")
+    for old in _versions(spark, path):
+        if old < number - 1:
+            delete(spark, f"{path}/{old:012d}")
+    return number
+
+
+def append_numbered(spark: SparkSession, folder: str, number: int, text: str) -> bool:
+    """Add a whole, flushed file of that number to a folder; False if there is one already."""
+    aside = f"{folder}/.{uuid.uuid4().hex}"
+    _write_whole(spark, aside, text)
+    if rename_new(spark, aside, f"{folder}/{number:012d}"):
+        return True
+    delete(spark, aside)
+    return False
+
+
+def read_numbered(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    return [(n, _read_whole(spark, f"{folder}/{n:012d}")) for n in _versions(spark, folder)]
+
+
+@contextmanager
+def lock(spark: SparkSession, path: str, wait: float = 30.0, stale: float = 600.0) -> Iterator[None]:
+    """Hold a lock file. LockTimeout after `wait` seconds; a lock older than `stale` seconds was left by a crash and is broken."""
+    token, give_up = uuid.uuid4().hex, time.monotonic() + wait
+    fs, p = _at(spark, path)
+    while True:
+        try:
+            _write_whole(spark, path, token, new=True)
+            if _read_whole(spark, path) == token:  # where creating is not exclusive, the last writer holds it
+                break
+        except Py4JJavaError:
+            if fs.exists(p) and time.time() - fs.getFileStatus(p).getModificationTime() / 1000 > stale:
+                rename_new(spark, path, f"{path}.broken-{token}")
+                delete(spark, f"{path}.broken-{token}")
+                continue
+        if time.monotonic() > give_up:
+            raise LockTimeout(f"{path} has been held for {wait} seconds")
+        time.sleep(0.1)
+    try:
+        yield
+    finally:
+        if exists(spark, path) and _read_whole(spark, path) == token:
+            delete(spark, path)
+
+
 def first_line(spark: SparkSession, path: str) -> str | None:
     fs, p = _at(spark, path)
     if not fs.exists(p):
@@ -61,23 +165,6 @@ def first_line(spark: SparkSession, path: str) -> str | None:
         reader.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write aside, then rename: a reader sees the old or the new text."""
-    aside = f"{path}.{uuid.uuid4().hex}"
-    fs, p = _at(spark, aside)
-    stream = fs.create(p, True)
-    try:
-        stream.write(bytearray(text.encode()))
-        stream.hsync()
-    finally:
-        stream.close()
-    move(spark, aside, path)
-
-
-def append_text(spark: SparkSession, path: str, text: str) -> None:
-    write_text(spark, path, (read_text(spark, path) or "") + text)
-
-
 def digest(spark: SparkSession, path: str) -> str:
     """SHA-256 of a file's bytes, a block at a time."""
     import hashlib

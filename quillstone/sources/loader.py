@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -56,36 +57,61 @@ class Watermarks:
             files.write_text(self.spark, self.path, json.dumps(self.held, sort_keys=True))
 
 
+VERSIONS = "table string, key array<string>, effective_date string"
+
+
 @dataclass
 class Affected:
-    """What is owed a new judgement: periods with changed content, and new dimension versions."""
+    """What is owed a new judgement: periods with changed content, and new dimension versions.
+
+    Periods are few and kept as text; versions are as many as a load brings and stay in Parquet, a
+    folder per load.
+    """
 
     periods: set[str] = field(default_factory=set)
-    versions: set[tuple] = field(default_factory=set)
+    folders: list[str] = field(default_factory=list)
+
+    @staticmethod
+    def _versions(root: str) -> str:
+        return f"{root}/_state/affected_versions"
 
     @staticmethod
     def load(spark: SparkSession, root: str) -> Affected:
         text = files.read_text(spark, _state(root, "affected_periods"))
-        if not text:
-            return Affected()
-        held = json.loads(text)
-        return Affected(set(held["periods"]), {(v["table"], tuple(v["key"]), v["effective_date"]) for v in held["dimension_versions"]})
+        # Spark marks a folder as whole when all of it is written.
+        own = [f"{Affected._versions(root)}/{n}" for n in files.names(spark, Affected._versions(root))]
+        return Affected(set(json.loads(text)) if text else set(), [f for f in own if files.exists(spark, f"{f}/_SUCCESS")])
 
-    def save(self, spark: SparkSession, root: str) -> None:
-        versions = [{"table": t, "key": list(k), "effective_date": d} for t, k, d in sorted(self.versions)]
-        files.write_text(spark, _state(root, "affected_periods"), json.dumps({"periods": sorted(self.periods), "dimension_versions": versions}))
+    def versions(self, spark: SparkSession) -> DataFrame:
+        """(table, key, effective_date) of the versions owed."""
+        return spark.read.schema(VERSIONS).parquet(*self.folders).distinct() if self.folders else spark.createDataFrame([], VERSIONS)
 
     @staticmethod
-    def record(spark: SparkSession, root: str, periods: Sequence[str] = (), versions: Sequence[tuple] = ()) -> None:
-        if periods or versions:
-            now = Affected.load(spark, root)
-            now.periods |= set(periods)
-            now.versions |= set(versions)
-            now.save(spark, root)
-
-    @staticmethod
-    def clear(spark: SparkSession, root: str) -> None:
-        Affected().save(spark, root)
+    def record(spark: SparkSession, root: str, periods: Sequence[str] = (), versions: DataFrame | None = None) -> None:
+        path = _state(root, "affected_periods")
+        while periods:
+            number = files.version(spark, path)
+            try:
+                files.write_text(spark, path, json.dumps(sorted({*Affected.load(spark, root).periods, *periods})), number)
+                break
+            except files.Conflict:
+                continue  # another load has recorded its own: add to those
+        if versions is not None:
+            versions.write.parquet(f"{Affected._versions(root)}/{uuid.uuid4().hex}")
+
+    def clear(self, spark: SparkSession, root: str) -> None:
+        """Forget what this object holds; what was recorded after it was read stays owed."""
+        path = _state(root, "affected_periods")
+        while True:
+            number = files.version(spark, path)
+            left = sorted(Affected.load(spark, root).periods - self.periods)
+            try:
+                files.write_text(spark, path, json.dumps(left), number)
+                break
+            except files.Conflict:
+                continue
+        for f in self.folders:
+            files.delete(spark, f)
 
 
 @dataclass
@@ -102,50 +128,49 @@ class LoadReport:
 def merge_batch(batch: DataFrame, root: str, contract: Contract, run_id: str) -> LoadReport:
     """Merge rows (declared columns, one per key) into the raw layer.
 
-    Only the partitions that the batch touches or moves keys out of are rewritten. What is dirty is
-    recorded before anything is written, so a crash in between can't lose it.
+    Of the whole layer only the keys are read, to see which rows move between partitions; other
+    columns are read, compared and rewritten in the partitions that the batch touches or moves keys
+    out of. What is dirty is recorded before anything is written, so a crash in between can't lose it.
     """
     spark = batch.sparkSession
     keys, columns = list(contract.primary_key), contract.columns
     others = [c for c in columns if c not in keys]
-    home = F.substring(contract.partition_by, 1, 7) if contract.partition_by else None
     batch = batch.cache()
+    found = None
     try:
         report = LoadReport(contract.table, batch.count())
         if not report.rows_read:
             return report
-        old = raw.read(spark, root, contract)
-        if contract.rows_are_immutable:
-            broken = merge.restated_columns(old, batch, keys, others).first()
-            if broken:
-                raise Restated(f"{contract.table} {[broken[k] for k in keys]}: {', '.join(broken['columns_changed'])} changed")
-        outcome = merge.changed_keys(old, batch, keys, others).where("outcome in ('inserted', 'updated')").cache()
-        counts = dict(outcome.groupBy("outcome").count().collect())
-        report.inserted, report.updated = counts.get("inserted", 0), counts.get("updated", 0)
         targets, moved = None, []
-        if home is not None:
-            incoming = batch.withColumn(raw.PERIOD, home)
-            gone = merge.moved_keys(old, incoming, keys, raw.PERIOD).cache()
-            moved = [r[0] for r in gone.select(f"old_{raw.PERIOD}").distinct().collect()]
-            report.evicted = gone.count()
-            gone.unpersist()
-            dirty = {r[0] for r in incoming.join(outcome, keys, "left_semi").select(raw.PERIOD).distinct().collect()}
+        if contract.partition_by:
+            incoming = batch.withColumn(raw.PERIOD, F.substring(contract.partition_by, 1, 7))
+            gone = dict(merge.moved_keys(raw.read_keys(spark, root, contract), incoming, keys, raw.PERIOD).groupBy(f"old_{raw.PERIOD}").count().collect())
+            moved, report.evicted = list(gone), sum(gone.values())
+            targets = sorted({r[0] for r in incoming.select(raw.PERIOD).distinct().collect()} | set(moved))
+        standing = raw.read(spark, root, contract, targets)
+        found = merge.compared(batch, standing, keys, others, ["_first_run_id"]).cache()
+        changed = found.where("outcome <> 'same'")
+        counts = dict(changed.groupBy("outcome").count().collect())
+        report.inserted, report.updated = counts.get("inserted", 0), counts.get("updated", 0)
+        if contract.rows_are_immutable and report.updated:
+            broken = changed.where("outcome = 'updated'").first()
+            raise Restated(f"{contract.table} {[broken[k] for k in keys]}: {', '.join(broken['columns_changed'])} changed")
+        if contract.partition_by:
+            dirty = {r[0] for r in changed.select(F.substring(contract.partition_by, 1, 7)).distinct().collect()}
             report.periods = sorted(dirty | set(moved))
             Affected.record(spark, root, report.periods)
-            touched = {r[0] for r in incoming.select(raw.PERIOD).distinct().collect()}
-            targets = sorted(touched | set(moved))
-        elif contract.rows_are_immutable:
+        elif contract.rows_are_immutable and report.inserted:
             date = next((k for k in keys if contract.column(k).type == "date"), None)
             if date:
-                fresh = outcome.where("outcome = 'inserted'").select(*keys).collect()
-                Affected.record(spark, root, versions=[(contract.table, tuple(r[k] for k in keys if k != date), r[date]) for r in fresh])
-        outcome.unpersist()
-        stamped = merge.first_seen(batch, old, keys, run_id)
-        standing = raw.read(spark, root, contract, targets)
-        raw.write(merge.merge_rows(standing.select(*columns, *METADATA), stamped.select(*columns, *METADATA), keys), root, contract, targets)
+                fresh = changed.select(F.lit(contract.table).alias("table"), F.array(*[k for k in keys if k != date]).alias("key"), F.col(date).alias("effective_date"))
+                Affected.record(spark, root, versions=fresh)
+        new = merge.stamped(found, columns, run_id)
+        raw.write(merge.merge_rows(standing.select(*columns, *METADATA), new.select(*columns, *METADATA), keys), root, contract, targets)
         return report
     finally:
         batch.unpersist()
+        if found is not None:
+            found.unpersist()
 
 
 def load_table(spark: SparkSession, source: str, root: str, contract: Contract, run_id: str, overlap_days: int = OVERLAP_DAYS, full: bool = False) -> LoadReport:

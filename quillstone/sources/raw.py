@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 from quillstone.contracts import Contract
 from quillstone.functions.core import fingerprint
 
-from . import files
+from . import parts
 from .csv_source import METADATA
 
 PERIOD = "accounting_period"
@@ -35,23 +34,37 @@ def exported_type(kind: T.DataType) -> str:
     return EXPORTABLE[name]
 
 
-def folder(root: str, contract: Contract, period: str | None = None) -> str:
-    base = f"{root}/{contract.table}"
-    return f"{base}/{PERIOD}={period}" if contract.partition_by else f"{base}/{WHOLE}"
+class EmptyTable(LookupError):
+    """A partitioned table that should hold rows holds none."""
 
 
 def schema(contract: Contract) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in (*contract.columns, *METADATA)])
 
 
+def _base(root: str, contract: Contract) -> str:
+    return f"{root}/{contract.table}"
+
+
+def folder(spark: SparkSession, root: str, contract: Contract, period: str | None = None) -> str:
+    """Where a partition's rows are now; KeyError without one."""
+    return f"{_base(root, contract)}/{parts.held(spark, _base(root, contract))[period if contract.partition_by else WHOLE]}"
+
+
 def periods(spark: SparkSession, root: str, contract: Contract) -> list[str]:
-    return [n.partition("=")[2] for n in files.names(spark, f"{root}/{contract.table}") if n.startswith(f"{PERIOD}=")]
+    return sorted(parts.held(spark, _base(root, contract))) if contract.partition_by else []
+
 
+def read(spark: SparkSession, root: str, contract: Contract, only: Sequence[str] | None = None, required: bool = False) -> DataFrame:
+    """Declared columns and provenance ('' in files without it), and the period where there is one.
 
-def read(spark: SparkSession, root: str, contract: Contract, only: Sequence[str] | None = None) -> DataFrame:
-    """Declared columns and provenance ('' in files without it), and the period where there is one."""
-    own = periods(spark, root, contract) if contract.partition_by else []
-    paths = [folder(root, contract, p) for p in own if only is None or p in only] if contract.partition_by else [p for p in [folder(root, contract)] if files.exists(spark, p)]
+    `only` names the partitions to read. With `required`, a table without any partition is refused
+    instead of read as empty.
+    """
+    held = parts.held(spark, _base(root, contract))
+    if required and not held:
+        raise EmptyTable(f"{contract.table} holds nothing under {root}")
+    paths = [f"{_base(root, contract)}/{f}" for p, f in sorted(held.items()) if only is None or not contract.partition_by or p in only]
     columns = [*contract.columns, *METADATA]
     if not paths:
         empty = spark.createDataFrame([], schema(contract))
@@ -61,27 +74,29 @@ def read(spark: SparkSession, root: str, contract: Contract, only: Sequence[str]
     return rows.withColumn(PERIOD, F.substring(contract.partition_by, 1, 7)) if contract.partition_by else rows
 
 
+def read_keys(spark: SparkSession, root: str, contract: Contract, only: Sequence[str] | None = None) -> DataFrame:
+    """The key, and the period where there is one: the scan reads no other column but the one that dates the row."""
+    rows = read(spark, root, contract, only)
+    return rows.select(*contract.primary_key, *([PERIOD] if contract.partition_by else []))
+
+
+def count_rows(spark: SparkSession, root: str, contract: Contract) -> dict[str, int]:
+    """Rows of each partition, from the Parquet footers."""
+    base = _base(root, contract)
+    return {p: spark.read.parquet(f"{base}/{f}").count() for p, f in sorted(parts.held(spark, base).items())}
+
+
 def write(rows: DataFrame, root: str, contract: Contract, targets: Sequence[str] | None = None) -> None:
-    """Replace the partitions of rows, each by one rename after all are written; `targets` without rows are deleted.
+    """Replace the partitions of rows, all in one change; `targets` without rows are dropped.
 
-    Rows are sorted by key within a partition, which is one file.
+    Rows are sorted by key within a partition; adaptive execution splits a large one into several files.
     """
-    spark = rows.sparkSession
-    aside = f"{root}/_staging/{uuid.uuid4().hex}"
     columns = [*contract.columns, *METADATA]
     if contract.partition_by:
         out = rows.select(*columns, F.substring(contract.partition_by, 1, 7).alias(PERIOD))
-        out.repartition(PERIOD).sortWithinPartitions(PERIOD, *contract.primary_key).write.partitionBy(PERIOD).parquet(aside)
-        written = [n for n in files.names(spark, aside) if n.startswith(f"{PERIOD}=")]
-        for name in written:
-            files.move(spark, f"{aside}/{name}", f"{root}/{contract.table}/{name}")
-        for p in targets or ():
-            if f"{PERIOD}={p}" not in written:
-                files.delete(spark, folder(root, contract, p))
+        parts.replace(out.hint("rebalance", PERIOD).sortWithinPartitions(PERIOD, *contract.primary_key), _base(root, contract), (PERIOD,), targets or ())
     else:
-        rows.select(*columns).coalesce(1).sortWithinPartitions(*contract.primary_key).write.parquet(f"{aside}/{WHOLE}")
-        files.move(spark, f"{aside}/{WHOLE}", folder(root, contract))
-    files.delete(spark, aside)
+        parts.replace(rows.select(*columns).hint("rebalance").sortWithinPartitions(*contract.primary_key), _base(root, contract), (), whole=WHOLE)
 
 
 def checksum(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
