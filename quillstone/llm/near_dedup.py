@@ -7,12 +7,16 @@ bring like sets together. Every link is confirmed on the full sets.
 
 No bucket is expanded into all pairs, and no link between its members is lost:
 
-1. Each member of a bucket is compared with the bucket's pivot, its smallest id.
-2. Jaccard distance is a metric. Of a bucket in which some members are in other components than the
-   pivot, only those members, and the pivot's own members that are near enough to the nearest of
-   them, can have links not found yet. These few are compared by the likelihood of their registers,
-   and what may reach the threshold is confirmed in the task where they meet. Where they are many,
-   they are dealt into blocks of bounded size, and a task holds one pair of blocks.
+1. Each member of a bucket is compared with the bucket's pivot, its smallest id. Members and pivots
+   are reduced to distinct pairs before any text is attached: a pair that meets in thirty bands is
+   compared once.
+2. Those links give components. Members that share a bucket share its pivot, so from here on a
+   pivot's members, of all its buckets, stand for them. Jaccard distance is a metric: of a pivot
+   some of whose members are in other components than its own, only those members (the outsiders),
+   and the pivot's own members that are near enough to the nearest outsider, can have links not
+   found yet. They are compared by the likelihood of their registers, and what may reach the
+   threshold is confirmed in the task where they meet. Where they are many, they are dealt into
+   blocks of bounded size, and a task holds one pair of blocks.
 """
 
 from __future__ import annotations
@@ -30,10 +34,11 @@ from .components import components
 
 REGISTERS, ROWS = 200, 5  # 40 bands of 5: a pair at similarity 0.8 is missed with probability 1e-7
 BASE = 1.001
-SALTS = 16
+#: Members of a hub whose texts one task streams past the hub's.
+HUB_MEMBERS = 4096
 #: A likelihood estimate this far below the threshold rules a pair out (7 standard errors).
 SLACK = 0.2
-#: Shingles and members of a bucket's open part that one block holds; a member counts for its shingles and MEMBER more.
+#: Shingles and members of a pivot's open part that one block holds; a member counts for its shingles and MEMBER more.
 BLOCK, MEMBER = 2_000_000, 400
 
 _SCALE = np.random.default_rng(20240229).integers(0, 2**63, REGISTERS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -72,16 +77,18 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def likely_similarity(greater: np.ndarray, smaller: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
-    """Maximum-likelihood Jaccard similarity, given how many registers are greater and smaller and the sets' sizes."""
-    total = (size_a + size_b).astype(float)
-    u, v = (size_a / total)[:, None], (size_b / total)[:, None]
-    grid = np.linspace(0, 1, 101)[None, :] * np.minimum(u / v, v / u)
-    p = lambda x: -np.log1p(-x * (BASE - 1) / BASE) / np.log(BASE)
-    up, down = np.clip(p(u - v * grid), 1e-9, 1), np.clip(p(v - u * grid), 1e-9, 1)
-    same = np.clip(1 - up - down, 1e-9, 1)
+    """Maximum-likelihood Jaccard similarity, given how many registers are greater and smaller and the sets' sizes.
+
+    With BASE near 1 a register is greater with probability u - v J, smaller with v - u J and equal
+    with J, where u and v are the sets' shares of the sum of their sizes. The likelihood's derivative
+    is a quadratic in J, and its smaller root is the maximum.
+    """
+    u = size_a / (size_a + size_b)
+    v = 1 - u
     equal = REGISTERS - greater - smaller
-    best = np.argmax(greater[:, None] * np.log(up) + smaller[:, None] * np.log(down) + equal[:, None] * np.log(same), 1)
-    return grid[np.arange(len(best)), best]
+    b = equal * (u * u + v * v) + greater * v * v + smaller * u * u
+    root = np.sqrt(np.maximum(b * b - 4 * REGISTERS * equal * (u * v) ** 2, 0))
+    return np.minimum((b - root) / (2 * REGISTERS * u * v), np.minimum(u / v, v / u))
 
 
 _ROW_DDL = "doc_id long, rid long, rep long, n_shingles long, set_key binary, registers binary"
@@ -144,16 +151,19 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("id", "registers").mapInArrow(run, "band long, id long")
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, size: int, hub: str = "b") -> DataFrame:
+def confirm(docs: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
     """pairs (a, b) with `shared` and `joint`: exact sizes of intersection and union of the sets.
 
-    Texts are dealt by their hub b, in SALTS parts: a task reads the hub's text once, then streams
-    the members' texts past it, and holds two sets at a time.
+    Texts are dealt by their hub b, a hub of many members in as many parts as its counted size needs:
+    a task reads the hub's text once, then streams the members' texts past it, and holds two sets at
+    a time. `pairs` is read twice, so it should be a written table.
     """
-    salted = pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int").alias("salt"))
+    parts = pairs.groupBy("b").agg(F.ceil(F.count("*") / HUB_MEMBERS).cast("int").alias("parts"))
+    salted = pairs.join(parts, "b").select("a", "b", F.pmod(F.xxhash64("a"), "parts").cast("int").alias("salt"))
     members = salted.select(F.col("a").alias("doc_id"), F.col("b").alias("hub"), "salt", F.lit(1).alias("member"))
-    hubs = salted.select(F.col("b").alias("doc_id"), F.col("b").alias("hub"), "salt", F.lit(0).alias("member")).distinct()
-    texts = docs.select("doc_id", "text").join(members.unionByName(hubs), "doc_id")
+    hubs = parts.select(F.col("b").alias("doc_id"), F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(0).alias("member"))
+    # Dealt by a shuffle at any size, so that a small input shows what a large one costs.
+    texts = docs.select("doc_id", "text").join(members.unionByName(hubs).hint("merge"), "doc_id")
     dealt = texts.repartition(common.partitions(docs.sparkSession), "hub", "salt").sortWithinPartitions("hub", "salt", "member", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,53 +188,64 @@ def confirm(docs: DataFrame, pairs: DataFrame, size: int, hub: str = "b") -> Dat
     return found.where("joint > 0")
 
 
-def _rest(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between members of a bucket that are in different components.
+_MET_DDL = "pivot long, low int, high int, id long, component long, block int, d double, registers binary, text string"
 
-    A bucket's rows are dealt into as many blocks as its size needs, and a task takes the texts of one
-    pair of blocks (most buckets have one block, which meets itself), so that memory has a bound and a
-    large bucket is shared out. Registers say which pairs may be linked; those are confirmed on the
-    full sets right there, by counting through an index from shingle to members, and only links that
-    join parts not joined before go on: fewer than the task has members.
+
+def _rest(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between open members of a pivot (id, component, own, d, n, registers) that are in different components.
+
+    `own` members are in the pivot's component, which holds no links to be found; the others are its
+    outsiders. A pivot's members are one block if they are few. Otherwise each kind is dealt into as
+    many blocks as its counted size needs, own blocks numbered below 0, and a task takes the texts of
+    a pair of blocks with an outsiders' block among them, so that memory has a bound and a large pivot
+    is shared out. Registers and the distances d to the pivot say which pairs may be linked; those are
+    confirmed on the full sets right there, and only links that join parts not joined before go on:
+    fewer than the task has members.
     """
-    weight = rows.groupBy("band").agg(F.ceil(F.sum(F.col("n") + MEMBER) / BLOCK).cast("int").alias("blocks"))
-    placed = rows.join(weight, "band").withColumn("block", F.pmod(F.xxhash64("id", "band"), "blocks").cast("int"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("band", "id", "n", "component", "registers", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    keys = ["band", "low", "high"]
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(met, "id")
-    dealt = texts.repartition(common.partitions(docs.sparkSession), *keys).sortWithinPartitions(*keys, "n", "id")
+    weight = F.col("n") + MEMBER
+    need = lambda when: F.ceil(F.coalesce(F.sum(F.when(when, weight)), F.lit(0)) / BLOCK).cast("int")
+    sizes = rows.groupBy("pivot").agg(need(F.col("own")).alias("inner"), need(~F.col("own")).alias("outer"), need(F.lit(True)).alias("whole"))
+    placed = rows.join(sizes, "pivot")
+    mine = F.pmod(F.xxhash64("id", "pivot"), F.when(F.col("own"), F.col("inner")).otherwise(F.col("outer"))).cast("int")
+    placed = placed.withColumn("block", F.when(F.col("whole") <= 1, F.lit(0)).when(F.col("own"), -1 - mine).otherwise(mine))
+    others = F.when(F.col("whole") <= 1, F.array(F.lit(0))).when(F.col("own"), F.sequence(F.lit(0), F.col("outer") - 1)).otherwise(F.sequence(-F.col("inner"), F.col("outer") - 1))
+    met = placed.withColumn("other", F.explode(others))
+    met = met.select("pivot", "id", "component", "d", "registers", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    keys = ["pivot", "low", "high"]
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(met.hint("merge"), "id")
+    dealt = texts.repartition(common.partitions(docs.sparkSession), *keys).sortWithinPartitions(*keys, "id")
+    reach = 1 - percent / 100 + 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         held: list[tuple] = []
 
         def close() -> list[tuple[int, int]]:
+            held.sort(key=lambda r: (len(r[6]), r[1]))
             one_block = held[0][0][1] == held[0][0][2]
-            ids, n = np.array([r[1] for r in held], np.int64), np.array([len(r[5]) for r in held], np.int64)
+            ids, block, d = (np.array([r[k] for r in held]) for k in (1, 3, 4))
             _, label = np.unique([r[2] for r in held], return_inverse=True)
-            block = np.array([r[3] for r in held])
-            registers = np.frombuffer(b"".join(r[4] for r in held), "<u2").reshape(-1, REGISTERS)
-            sets = [r[5] for r in held]
+            registers = np.frombuffer(b"".join(r[5] for r in held), "<u2").reshape(-1, REGISTERS)
+            sets = [r[6] for r in held]
+            n = np.array([len(x) for x in sets], np.int64)
             held.clear()
-            member = np.repeat(np.arange(len(ids)), n)
-            values, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-            owners = member[np.argsort(code, kind="stable")]
-            first = np.cumsum(count) - count
+            values, code = np.unique(np.concatenate(sets), return_inverse=True)
             edge = np.concatenate([[0], np.cumsum(n)])
+            mine = np.zeros(len(values), bool)
             out = []
             for i in range(1, len(ids)):
-                able = np.flatnonzero((label[:i] != label[i]) & (n[:i] * 100 >= n[i] * percent) & (one_block | (block[:i] != block[i])))
+                able = np.flatnonzero((label[:i] != label[i]) & (n[:i] * 100 >= n[i] * percent) & (np.abs(d[:i] - d[i]) <= reach) & (one_block | (block[:i] != block[i])))
                 if not len(able):
                     continue
-                greater, smaller = (registers[able] > registers[i]).sum(1), (registers[able] < registers[i]).sum(1)
-                likely = able[likely_similarity(greater, smaller, n[able], np.full(len(able), n[i])) >= percent / 100 - SLACK]
+                gap = registers[able].astype(np.int32) - registers[i]
+                likely = able[likely_similarity((gap > 0).sum(1), (gap < 0).sum(1), n[able], n[i]) >= percent / 100 - SLACK]
                 if not len(likely):
                     continue
-                own = code[edge[i] : edge[i + 1]]
-                stop = np.cumsum(count[own])
-                at = np.repeat(first[own] - (stop - count[own]), count[own]) + np.arange(stop[-1])
-                shared = np.bincount(owners[at], minlength=len(ids))[likely]
+                mine[code[edge[i] : edge[i + 1]]] = True
+                stop = np.cumsum(n[likely])
+                at = np.repeat(edge[likely] - (stop - n[likely]), n[likely]) + np.arange(stop[-1])
+                shared = np.add.reduceat(mine[code[at]], stop - n[likely], dtype=np.int64)
+                mine[code[edge[i] : edge[i + 1]]] = False
                 for j in likely[shared * 100 >= (n[likely] + n[i] - shared) * percent].tolist():
                     if label[j] != label[i]:
                         out.append((int(max(ids[i], ids[j])), int(min(ids[i], ids[j]))))
@@ -232,18 +253,19 @@ def _rest(docs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFram
             return out
 
         for batch in common.slices(batches, "text", 1 << 20):
-            band, low, high, ids, parts, blocks, registers = (batch.column(k).to_pylist() for k in range(7))
+            pivot, low, high, ids, parts, blocks, d, registers = (batch.column(k).to_pylist() for k in range(8))
             out = []
-            for row in zip(zip(band, low, high, strict=True), ids, parts, blocks, registers, shingle_sets(batch.column(7), size), strict=True):
+            for row in zip(zip(pivot, low, high, strict=True), ids, parts, blocks, d, registers, shingle_sets(batch.column(8), size), strict=True):
                 if held and held[0][0] != row[0]:
                     out += close()
-                held.append(row)
+                if len(row[6]):
+                    held.append(row)
             if out:
                 yield common.batch_of(schema, *zip(*out, strict=True))
         if held and (out := close()):
             yield common.batch_of(schema, *zip(*out, strict=True))
 
-    return dealt.select(*keys, "id", "component", "block", "registers", "text").mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    return dealt.select(*[c.split()[0] for c in _MET_DDL.split(", ")]).mapInArrow(run, "a long, b long").where("a <> b").distinct()
 
 
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -267,32 +289,29 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     able = classes.where(F.col("n") >= least - 1)
     bands = common.settle(_bands(able), "near-bands")
     pivots = bands.groupBy("band").agg(F.min("id").alias("pivot"), F.max("id").alias("top")).where("pivot <> top").select("band", "pivot")
-    spread = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = bands.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    shared = common.settle(salted.join(spread, ["band", "salt"]).where("id <> pivot").select("band", "id", "pivot"), "near-buckets")
+    # Both sides of this join are plain exchanges of written tables, so adaptive execution splits a hot band.
+    pivots = common.settle(pivots, "near-pivots")
+    stars = common.settle(bands.join(pivots, "band").where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), "near-stars")
     common.release(spark)
-    stars = shared.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     tested = common.settle(confirm(docs, stars, size), "near-tested")
     common.release(spark)
-    linked = (F.col("shared") * 100 >= F.col("joint") * percent)
-    links = tested.where(linked).select("a", "b")
+    links = tested.where(F.col("shared") * 100 >= F.col("joint") * percent).select("a", "b")
     found = components(links)
 
     # What the pivots leave open: members of other components, and who of the pivot's could reach them.
-    distance = tested.groupBy("a", "b").agg(F.min(1 - F.col("shared") / F.col("joint")).alias("d"))
-    member = found.select(F.col("node").alias("id"), F.col("component").alias("own"))
-    hub = found.select(F.col("node").alias("pivot"), F.col("component").alias("hubs"))
-    placed = shared.join(distance.select(F.col("a").alias("id"), F.col("b").alias("pivot"), "d"), ["id", "pivot"]).join(member, "id", "left").join(hub, "pivot", "left")
-    placed = placed.select("band", "id", "d", F.coalesce("own", "id").alias("component"), F.coalesce("hubs", "pivot").alias("hubs"))
+    distance = tested.groupBy(F.col("a").alias("id"), F.col("b").alias("pivot")).agg(F.min(1 - F.col("shared") / F.col("joint")).alias("d"))
+    member = found.select(F.col("node").alias("id"), F.col("component").alias("member"))
+    hub = found.select(F.col("node").alias("pivot"), F.col("component").alias("hub"))
+    placed = distance.join(member, "id", "left").join(hub, "pivot", "left").withColumn("component", F.coalesce("member", "id"))
+    placed = placed.select("pivot", "id", "d", "component", (F.col("component") == F.coalesce("hub", "pivot")).alias("own"))
     placed = common.settle(placed, "near-placed")
-    apart = placed.where(F.col("component") != F.col("hubs"))
-    nearest = apart.groupBy("band").agg(F.min("d").alias("near"), F.count("*").alias("n_apart"))
+    outside = F.when(~F.col("own"), F.col("d"))
+    nearest = placed.groupBy("pivot").agg(F.min(outside).alias("near"), F.count(outside).alias("n_out"), F.max(F.when(F.col("own"), F.col("d"))).alias("far"))
     reach = 1 - percent / 100 + 1e-9
-    close = placed.where(F.col("component") == F.col("hubs")).join(nearest, "band").where(F.col("d") >= F.col("near") - reach).select("band", "id", "component")
-    alone = apart.join(nearest, "band").select("band", "id", "component", "n_apart")
-    crowd = close.select("band").distinct().withColumn("crowd", F.lit(True))
-    alone = alone.join(crowd, "band", "left").where("n_apart > 1 or crowd").select("band", "id", "component")
-    rest = alone.unionByName(close).join(able.select("id", "n", "registers"), "id")
+    # A pivot is open where two outsiders may meet, or one outsider and an own member.
+    nearest = nearest.where((F.col("n_out") > 1) | ((F.col("n_out") == 1) & (F.col("far") >= F.col("near") - reach)))
+    rest = placed.join(nearest, "pivot").where(~F.col("own") | (F.col("d") >= F.col("near") - reach)).select("pivot", "id", "d", "component", "own")
+    rest = common.settle(rest.join(able.select("id", "n", "registers"), "id"), "near-open")
     more = common.settle(_rest(docs, rest, size, percent), "near-rest")
     common.release(spark)
     if not more.isEmpty():
