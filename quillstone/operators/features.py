@@ -14,24 +14,27 @@ MIDDLE_BAND = 1.0
 SERIES = ["account_code", "cost_center_code"]
 
 
-def size_bands(balances: DataFrame) -> DataFrame:
-    """(cost_center_code, size_band): tercile band of a centre's median balance; all-zero centres have none."""
-    centres = balances.groupBy("cost_center_code").agg(F.expr("percentile(cast(balance as double), 0.5)").alias("middle"), F.max((F.col("balance") != 0).cast("int")).alias("live")).where("live = 1")
-    cuts = centres.agg(F.expr("percentile(middle, array(1D/3, 2D/3))").alias("cuts"))
-    placed = centres.crossJoin(F.broadcast(cuts))  # one row
+def size_bands(balances: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(cost_center_code, size_band): tercile band of a centre's median balance; all-zero centres have none. With `by`, for each of its values."""
+    centres = balances.groupBy(*by, "cost_center_code").agg(F.expr("percentile(cast(balance as double), 0.5)").alias("middle"), F.max((F.col("balance") != 0).cast("int")).alias("live")).where("live = 1")
+    cuts = centres.groupBy(*by).agg(F.expr("percentile(middle, array(1D/3, 2D/3))").alias("cuts"))
+    placed = centres.join(cuts, list(by)) if by else centres.crossJoin(F.broadcast(cuts))  # one row
     band = F.when(F.col("middle") <= F.col("cuts")[0], 0.0).when(F.col("middle") > F.col("cuts")[1], 2.0).otherwise(MIDDLE_BAND)
-    return placed.select("cost_center_code", band.alias("size_band"))
+    return placed.select(*by, "cost_center_code", band.alias("size_band"))
 
 
-def design(balances: DataFrame, bands: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
+def design(balances: DataFrame, bands: DataFrame | None = None, lags: Sequence[int] = LAGS) -> DataFrame:
     """Lagged balances, month flags and size band per series and period; rows without all lags are left out.
 
+    A centre without a band takes the middle one, as all do without bands.
+
     Lags go by position, so the series must have no gaps (the dense balance has none).
     """
     order = Window.partitionBy(*SERIES).orderBy("accounting_period")
     value = F.col("balance").cast("double")
     rows = balances.withColumns({f"lag_{k}": F.lag(value, k).over(order) for k in lags} | {"__place": F.row_number().over(order)})
-    rows = rows.where(F.col("__place") > max(lags)).drop("__place").join(bands, "cost_center_code", "left")
+    rows = rows.where(F.col("__place") > max(lags)).drop("__place")
+    rows = rows.withColumn("size_band", F.lit(None).cast("double")) if bands is None else rows.join(bands, "cost_center_code", "left")
     return rows.select(*SERIES, "accounting_period", value.alias("actual"), *[f"lag_{k}" for k in lags], *month_flags(F.col("accounting_period")), F.coalesce("size_band", F.lit(MIDDLE_BAND)).alias("size_band"))
 
 

@@ -30,6 +30,12 @@ def long_tail_shape(lines: DataFrame, period: str, amount: str, top: int = 20) -
     return sums.crossJoin(F.broadcast(whole)).select(period, (F.col("total") / F.nullif(others, F.lit(0.0))).alias("raised"), (F.col("top") / F.nullif(F.col("total"), F.lit(0.0))).alias("top_share"))
 
 
+def spread_of(grown: DataFrame, amount: str) -> DataFrame:
+    """(n_groups, total, top_share) of a breakdown: how many groups have a part in it, and the largest one's share."""
+    sums = grown.agg(F.count("*").alias("n_groups"), F.sum(amount).alias("total"), F.max(amount).alias("top"))
+    return sums.select("n_groups", "total", (F.col("top").cast("double") / F.nullif(F.col("total").cast("double"), F.lit(0.0))).alias("top_share"))
+
+
 def increases(now: DataFrame, before: DataFrame, key: str, amount: str) -> DataFrame:
     """(key, increase): groups whose sum has grown."""
     then = before.groupBy(key).agg(F.sum(amount).alias("then"))

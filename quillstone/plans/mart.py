@@ -147,7 +147,7 @@ REFERENCES = (("account_key", "dim_account", "surrogate_key"), ("cost_center_key
 def _gates(spark: SparkSession, name: str, built: dict[str, DataFrame], landing: Callable[[str], DataFrame]) -> list[gates.Gate]:
     df = built[name]
     out = [gates.Gate(f"unique_{name}", name, gates.not_unique(df, UNIQUE[name]))]
-    out += [gates.Gate(f"not_null_{name}_{c}", name, gates.nulls(df, c)) for c in NOT_NULL[name]]
+    out += [gates.Gate(f"not_null_{name}_{c}", name, gates.nulls(df, c), df, c) for c in NOT_NULL[name]]
     if name in INTERVALS:
         out.append(gates.Gate(f"intervals_are_consistent_{name}", name, gates.interval_faults(df, INTERVALS[name])))
     if name.startswith("fct_"):

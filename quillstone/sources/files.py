@@ -7,6 +7,7 @@ deleted first, so a stop at any point leaves the old state or the new one.
 
 from __future__ import annotations
 
+import tempfile
 import time
 import uuid
 from collections.abc import Iterator
@@ -45,6 +46,21 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from spark.checkpoint.dir; where none is set, one of a local session's own."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = f"{tempfile.gettempdir()}/checkpoints"
+    return found.rstrip("/")
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """A new plain file."""
+    _write_whole(spark, path, text, new=True)
+
+
 def rename_new(spark: SparkSession, source: str, target: str) -> bool:
     """Rename to a name that does not exist; False if it does. The parent folder is made."""
     fs, p = _at(spark, source)

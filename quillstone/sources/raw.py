@@ -99,6 +99,13 @@ def write(rows: DataFrame, root: str, contract: Contract, targets: Sequence[str]
         parts.replace(rows.select(*columns).hint("rebalance").sortWithinPartitions(*contract.primary_key), _base(root, contract), (), whole=WHOLE)
 
 
+def export(rows: DataFrame, path: str) -> dict[str, str]:
+    """Copy a table out as Parquet, replacing nothing; the exported type of each column. A type without a counterpart is refused before anything is written."""
+    kinds = {f.name: exported_type(f.dataType) for f in rows.schema}
+    rows.write.parquet(path)
+    return kinds
+
+
 def checksum(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(checksum, n_rows): one digest of a table's rows in any order, provenance left out.
 

@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 import xxhash
 
+from quillstone.plans import lake_queries  # noqa: F401  (registers its queries)
 from quillstone.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
