@@ -1,14 +1,17 @@
 """Removal of passages that also stand in a document with a smaller id.
 
-The corpus is its own reference, so no automaton of all of it may be broadcast. Its shards are the
-documents: a window index tells each document which smaller document shares its passages (the
-*hub*), passages go to their hub, and the hub's suffix automaton yields their matching statistics.
-What matches over the window length is removed.
-
-The window index needs no row per window. Equal windows have equal smallest k-grams (anchors), so
-windows are dealt by their anchor, packed into one row per scan segment and bucket; of windows that
-meet in a segment only those of its smallest document go on, so a passage that a third of the
-documents share sends one entry per segment.
+The corpus is its own reference, so no automaton of all of it may be broadcast. It is cut into
+shards, runs of a document's words that overlap by a window less one word: a window index tells each
+document which smaller document (the *hub*) shares its passages and in which shards, passages go to
+their shard, and the shard's suffix automaton yields their matching statistics. What matches over
+the window length is removed. A window that the automaton refuses was sent by a collision of
+hashes; those are sought again under other hashes, until none is left.
+
+The window index needs no row per window. Equal windows have equal smallest and greatest k-grams
+(together the anchor), and neighbouring windows mostly share them, so windows are dealt by their
+anchor, packed into one row per scan segment and bucket; of windows that meet in a segment only those
+of its smallest document go on, so a passage that a third of the documents share sends one entry per
+segment. A frequent k-gram alone does not bring windows together: their other anchor differs.
 """
 
 from __future__ import annotations
@@ -26,9 +29,12 @@ from . import common
 WINDOW = 13
 GRAM = 5
 SEGMENT_WORDS = 700_000
-SALTS = 16
-#: A longer hub is matched by its sorted window hashes; an automaton takes about 1 KB a word.
-AUTOMATON_WORDS = 100_000
+#: Words of a shard of a reference document; its automaton takes about 1 KB a word.
+SHARD_WORDS = 20_000
+#: Documents whose passages one task streams past a shard.
+SHARD_MEMBERS = 4096
+#: Bits of a window's hash; fewer only in tests. Hashes tried while windows collide.
+HASH_BITS, SEEDS = 64, 20
 _ODD = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -88,8 +94,9 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return common.mix(a[:n] * _ODD + b[:n])
 
 
-def windows(h: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, anchor) of every window of a row of word hashes, by doubling."""
+def windows(h: np.ndarray, window: int = WINDOW, gram: int = GRAM, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, anchor) of every window of a row of word hashes, by doubling. Other seeds give other hashes."""
+    h = common.mix(h + np.uint64(seed)) if seed else h
     n = len(h) - window + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
@@ -103,22 +110,23 @@ def windows(h: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.n
             power, reach = _pair(power, power[reach:]), reach * 2
         return out
 
-    anchors, held = spans(gram), 1
+    least, most, held = spans(gram), spans(gram), 1
     width = window - gram + 1
     while held < width:
         shift = min(held, width - held)
-        anchors = np.minimum(anchors[:-shift], anchors[shift:])
+        least, most = np.minimum(least[:-shift], least[shift:]), np.maximum(most[:-shift], most[shift:])
         held += shift
-    return spans(window)[:n], anchors[:n]
+    return spans(window)[:n] >> np.uint64(64 - HASH_BITS), _pair(least, most)[:n]
 
 
 # ---- the window index ----
 
-_ENTRY_DDL = "bucket int, docs binary, runs binary, codes binary, doc_id long, row_key long, hub long, hub_key long, starts binary"
-_ENTRY = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in ("docs", "runs", "codes")), *((n, pa.int64()) for n in ("doc_id", "row_key", "hub", "hub_key")), ("starts", pa.binary())])
+_PLACE = ("doc_id", "row_key", "hub", "hub_key", "shard")
+_SPAN_DDL = ", ".join(f"{n} long" for n in _PLACE) + ", starts binary"
+_SPAN = pa.schema([*((n, pa.int64()) for n in _PLACE), ("starts", pa.binary())])
+_ENTRY_DDL = "bucket int, docs binary, runs binary, codes binary, " + _SPAN_DDL
+_ENTRY = pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in ("docs", "runs", "codes")), *_SPAN])
 _RUN = np.dtype([("doc", "<u4"), ("at", "<u4"), ("n", "u1")])
-_SPAN_DDL = "doc_id long, row_key long, hub long, hub_key long, starts binary"
-_SPAN = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("hub", pa.int64()), ("hub_key", pa.int64()), ("starts", pa.binary())])
 _PACK_DDL = "home int, pairs binary, starts binary"
 _PACK = pa.schema([("home", pa.int32()), ("pairs", pa.binary()), ("starts", pa.binary())])
 
@@ -129,33 +137,31 @@ def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(first - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)
 
 
-def _found(doc: np.ndarray, hub: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, hub, number of starts) per document and hub, and all starts in that order."""
-    order = np.lexsort((at, hub, doc))
-    doc, hub, at = doc[order], hub[order], at[order]
-    edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (hub[1:] != hub[:-1])])) if len(doc) else np.zeros(0, int)
-    return doc[edge], hub[edge], np.diff(np.append(edge, len(doc))), at
+def _found(doc: np.ndarray, hub: np.ndarray, shard: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(doc, hub, shard, number of starts) per document and shard of a hub, and all starts in that order."""
+    order = np.lexsort((at, shard, hub, doc))
+    doc, hub, shard, at = doc[order], hub[order], shard[order], at[order]
+    edge = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (hub[1:] != hub[:-1]) | (shard[1:] != shard[:-1])])) if len(doc) else np.zeros(0, int)
+    return doc[edge], hub[edge], shard[edge], np.diff(np.append(edge, len(doc))), at
 
 
-def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
-    """(doc_id, row_key, hub, hub_key, starts): windows of a document that also start in the smaller document hub.
+def _window_index(docs: DataFrame, window: int, buckets: int, seed: int = 0) -> DataFrame:
+    """(doc_id, row_key, hub, hub_key, shard, starts): windows of a document that also start in that shard of the smaller document hub.
 
     starts is null where the hub has the same words from first to last.
     """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, np.ndarray]] = []
+        held: list[tuple[int, int, np.ndarray, str]] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             held.sort(key=lambda r: (r[0], r[1]))
             chosen, whole, seen = [], [], {}
-            for doc_id, key, h in held:
-                place = np.arange(len(h), dtype=np.uint64) * _ODD
-                sequence = (len(h), int(common.mix(h + place).sum(dtype=np.uint64)), int(common.mix((h ^ _ODD) + place).sum(dtype=np.uint64)))
-                other = seen.setdefault(sequence, (doc_id, key))
-                if other[0] < doc_id:
-                    whole.append((doc_id, key, *other))
+            for doc_id, key, h, text in held:
+                other = seen.setdefault((len(h), int(common.mix(h + np.arange(len(h), dtype=np.uint64) * _ODD).sum(dtype=np.uint64))), (doc_id, key, text))
+                if other[0] < doc_id and _split(other[2]) == _split(text):
+                    whole.append((doc_id, key, *other[:2], 0))
                 elif not chosen or chosen[-1][:2] != (doc_id, key):  # else the same row again
                     chosen.append((doc_id, key, h))
             held.clear()
@@ -166,22 +172,24 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                 return
             ids, keys = (np.array([r[k] for r in chosen], np.int64) for k in (0, 1))
             sizes = np.array([len(r[2]) for r in chosen])
-            code, anchor = windows(np.concatenate([r[2] for r in chosen]), window)
+            code, anchor = windows(np.concatenate([r[2] for r in chosen]), window, seed=seed)
             first = np.cumsum(sizes) - sizes
             at = _spread(first, sizes - window + 1)
             code, anchor = code[at], anchor[at]
             doc = np.repeat(np.arange(len(chosen)), sizes - window + 1)
             at = at - first[doc]
             order = np.argsort(code, kind="stable")
-            lead = np.concatenate([[True], code[order][1:] != code[order][:-1]])
-            owner = np.empty(len(code), np.int64)
-            owner[order] = doc[order][np.flatnonzero(lead)][np.cumsum(lead) - 1]
+            # Windows with another anchor differ, whatever their hashes: they go on, and none hides another.
+            lead = np.concatenate([[True], (code[order][1:] != code[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])])
+            origin = np.empty(len(code), np.int64)  # the first window of equal hash, in the smallest document
+            origin[order] = order[np.flatnonzero(lead)][np.cumsum(lead) - 1]
+            owner, shard = doc[origin], at[origin] // SHARD_WORDS
             later = ids[owner] < ids[doc]
             if later.any():
-                own, hub, n, starts = _found(doc[later], owner[later], at[later])
+                own, hub, part, n, starts = _found(doc[later], owner[later], shard[later], at[later])
                 none = [None] * len(own)
                 blobs = [x.astype("<u4").tobytes() for x in np.split(starts, np.cumsum(n)[:-1])]
-                yield common.batch_of(_ENTRY, np.arange(len(own)) % buckets, none, none, none, ids[own], keys[own], ids[hub], keys[hub], blobs)
+                yield common.batch_of(_ENTRY, np.arange(len(own)) % buckets, none, none, none, ids[own], keys[own], ids[hub], keys[hub], part, blobs)
             stay = np.flatnonzero(~later)
             code, doc, at = code[stay], doc[stay], at[stay]
             home = (anchor[stay] % np.uint64(buckets)).astype(np.int64)
@@ -204,15 +212,15 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                 blob = np.stack([ids[used], keys[used]]).astype("<i8").tobytes()
                 # Field by field, so that like bytes stand together.
                 fields = b"".join(np.ascontiguousarray(packed[f]).tobytes() for f in _RUN.names)
-                yield common.batch_of(_ENTRY, [b], [blob], [fields], [codes], [None], [None], [None], [None], [None])
+                yield common.batch_of(_ENTRY, [b], [blob], [fields], [codes], *[[None]] * len(_SPAN))
 
         for batch in common.slices(batches, "text"):
             words = common.Words(batch.column(1))
             h = words.hashes()
-            for i, (doc_id, key) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            for i, (doc_id, text, key) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
                 own = h[words.first[i] : words.first[i + 1]]
                 if doc_id is not None and len(own) >= window:
-                    held.append((doc_id, key, own.copy()))
+                    held.append((doc_id, key, own.copy(), text))
                     size += len(own)
             if size >= SEGMENT_WORDS:
                 yield from flush()
@@ -220,11 +228,11 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
         if held:
             yield from flush()
 
-    def packed(doc_id, row_key, hub, hub_key, n, starts) -> Iterator[pa.RecordBatch]:
+    def packed(doc_id, row_key, hub, hub_key, shard, n, starts) -> Iterator[pa.RecordBatch]:
         """Entries packed by the home bucket of their document: a row per home, however many entries."""
         home = (row_key.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(home, kind="stable")
-        table = np.stack([doc_id, row_key, hub, hub_key, n]).astype("<i8")
+        table = np.stack([doc_id, row_key, hub, hub_key, shard, n]).astype("<i8")
         first = np.cumsum(n) - n
         edge = np.searchsorted(home[order], np.arange(buckets + 1))
         for b in np.flatnonzero(edge[1:] > edge[:-1]).tolist():
@@ -262,13 +270,13 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                 order = np.lexsort((doc, code))
                 code, doc, at = code[order], doc[order], at[order]
                 lead = np.concatenate([[True], code[1:] != code[:-1]])
-                owner = doc[np.flatnonzero(lead)][np.cumsum(lead) - 1]
-                later = ids[owner] < ids[doc]
-                own, hub, n, starts = _found(doc[later], owner[later], at[later])
-                yield from packed(ids[own], keys[own], ids[hub], keys[hub], n, starts)
+                origin = np.flatnonzero(lead)[np.cumsum(lead) - 1]
+                later = ids[doc[origin]] < ids[doc]
+                own, hub, part, n, starts = _found(doc[later], doc[origin][later], at[origin][later] // SHARD_WORDS, at[later])
+                yield from packed(ids[own], keys[own], ids[hub], keys[hub], part, n, starts)
             if ready:
-                whole = np.array([x[:4] for x in ready], np.int64).T
-                blobs = [x[4] or b"" for x in ready]
+                whole = np.array([x[:5] for x in ready], np.int64).T
+                blobs = [x[5] or b"" for x in ready]
                 ready.clear()
                 yield from packed(*whole, np.array([len(x) // 4 for x in blobs]), np.frombuffer(b"".join(blobs), "<u4"))
 
@@ -284,7 +292,7 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
         yield from close()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per document and hub, from all buckets; no starts stand for the whole document."""
+        """One row per document and shard, from all buckets; no starts stand for the whole document."""
         home, tables, starts = None, [], []
 
         def close() -> Iterator[pa.RecordBatch]:
@@ -293,12 +301,12 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             table, all_starts = np.concatenate(tables, 1), np.concatenate(starts)
             tables.clear()
             starts.clear()
-            first = np.cumsum(table[4]) - table[4]
-            order = np.lexsort(table[3::-1])
-            pairs = table[:4, order]
+            first = np.cumsum(table[5]) - table[5]
+            order = np.lexsort(table[4::-1])
+            pairs = table[:5, order]
             edge = np.flatnonzero(np.concatenate([[True], (pairs[:, 1:] != pairs[:, :-1]).any(0)]))
-            count = np.add.reduceat(table[4, order], edge)
-            joined = all_starts[_spread(first[order], table[4, order])].astype("<u4")
+            count = np.add.reduceat(table[5, order], edge)
+            joined = all_starts[_spread(first[order], table[5, order])].astype("<u4")
             for k in range(0, len(edge), 4096):
                 part = slice(k, k + 4096)
                 stop = np.cumsum(count[part]) + count[:k].sum()
@@ -310,7 +318,7 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
                 if b != home:
                     yield from close()
                 home = b
-                tables.append(np.frombuffer(table, "<i8").reshape(5, -1))
+                tables.append(np.frombuffer(table, "<i8").reshape(6, -1))
                 starts.append(np.frombuffer(own, "<u4"))
         yield from close()
 
@@ -319,81 +327,80 @@ def _window_index(docs: DataFrame, window: int, buckets: int) -> DataFrame:
     return met.repartition(buckets, "home").sortWithinPartitions("home").mapInArrow(gather, _SPAN_DDL)
 
 
-# ---- matching against the hubs ----
+# ---- matching against the shards ----
 
-_PIECE_DDL = "hub long, hub_key long, salt int, member int, doc_id long, row_key long, spans binary, words binary"
+_PIECE_DDL = "hub long, hub_key long, shard long, salt int, member int, doc_id long, row_key long, starts binary, words binary"
+_PIECE = pa.schema([("hub", pa.int64()), ("hub_key", pa.int64()), ("shard", pa.int64()), ("salt", pa.int32()), ("member", pa.int32()), ("doc_id", pa.int64()), ("row_key", pa.int64()), ("starts", pa.binary()), ("words", pa.binary())])
 
 
 def _split(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
-def _joined_starts(blobs: list[bytes], window: int) -> np.ndarray:
-    """Maximal spans [first, last) of words that the windows cover."""
-    starts = np.unique(np.concatenate([np.frombuffer(b, "<u4") for b in blobs]).astype(np.int64))
-    edge = np.flatnonzero(np.concatenate([[True], starts[1:] != starts[:-1] + 1]))
-    last = np.concatenate([starts[edge[1:] - 1], starts[-1:]]) + window
-    return np.stack([starts[edge], last], 1)
+def _covered(starts: np.ndarray, window: int) -> np.ndarray:
+    """Maximal spans [first, last) of words that the windows cover; starts ascend."""
+    edge = np.flatnonzero(np.concatenate([[True], np.diff(starts) != 1]))
+    return np.stack([starts[edge], np.append(starts[edge[1:] - 1], starts[-1]) + window], 1)
 
 
 def _matched(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
-    """(doc_id, row_key, spans): the spans whose windows the hub's automaton confirms."""
-    salted = found.where("starts is not null").withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)).cast("int"))
-    hubs = salted.select(F.col("hub").alias("doc_id"), F.col("hub_key").alias("row_key"), "hub", "hub_key", F.lit(None).cast("binary").alias("starts"), "salt").distinct()
-    uses = salted.withColumn("member", F.lit(1)).unionByName(hubs.withColumn("member", F.lit(0)))
+    """(doc_id, row_key, spans, refused): spans whose windows the shard's automaton confirms, and how many it refuses."""
+    found = found.where("starts is not null")
+    place = ["hub", "hub_key", "shard"]
+    hot = found.groupBy(*place).agg(F.ceil(F.count("*") / SHARD_MEMBERS).cast("int").alias("parts")).where("parts > 1")
+    parts = F.coalesce("parts", F.lit(1))
+    salted = found.join(hot, place, "left").withColumn("salt", F.pmod(F.xxhash64("row_key"), parts).cast("int")).drop("parts")
+    shards = found.select(*place).distinct().join(hot, place, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    shards = shards.select(F.col("hub").alias("doc_id"), F.col("hub_key").alias("row_key"), *place, F.lit(None).cast("binary").alias("starts"), "salt")
+    uses = salted.withColumn("member", F.lit(1)).unionByName(shards.withColumn("member", F.lit(0)))
     texts = docs.join(uses, ["doc_id", "row_key"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("hub", pa.int64()), ("hub_key", pa.int64()), ("salt", pa.int32()), ("member", pa.int32()), ("doc_id", pa.int64()), ("row_key", pa.int64()), ("spans", pa.binary()), ("words", pa.binary())])
+        last, words = None, []
         for batch in common.slices(batches, "text"):
-            out = []
-            for text, hub, hub_key, salt, member, doc_id, row_key, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = _split(text)
+            out, size = [], 0
+            for text, hub, hub_key, shard, salt, member, doc_id, row_key, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if last != (doc_id, row_key):
+                    last, words = (doc_id, row_key), _split(text)
                 if member:
-                    spans = _joined_starts([starts], window)
-                    out.append((hub, hub_key, salt, 1, doc_id, row_key, spans.astype("<u4").tobytes(), b"\n".join(b" ".join(words[a:b]) for a, b in spans.tolist())))
+                    starts = np.frombuffer(blob, "<u4").astype(np.int64)
+                    out.append((hub, hub_key, shard, salt, 1, doc_id, row_key, blob, b"\n".join(b" ".join(words[a:b]) for a, b in _covered(starts, window).tolist())))
                 else:
-                    out.append((hub, hub_key, salt, 0, None, None, None, b" ".join(words)))
-            yield common.batch_of(schema, *zip(*out, strict=True))
+                    own = words[shard * SHARD_WORDS : (shard + 1) * SHARD_WORDS + window - 1]
+                    out.append((hub, hub_key, shard, salt, 0, None, None, None, b" ".join(own)))
+                size += len(out[-1][-1])
+                if size > common.SLICE_BYTES:
+                    yield common.batch_of(_PIECE, *zip(*out, strict=True))
+                    out, size = [], 0
+            if out:
+                yield common.batch_of(_PIECE, *zip(*out, strict=True))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("spans", pa.binary())])
-        now, automaton, known = None, None, None
+        schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("spans", pa.binary()), ("refused", pa.int64())])
+        now, automaton = None, None
         for batch in batches:
             out = []
-            for hub, hub_key, salt, member, doc_id, row_key, spans, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if now != (hub, hub_key, salt):
-                    now, automaton, known = (hub, hub_key, salt), None, None
+            for hub, hub_key, shard, salt, member, doc_id, row_key, blob, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (hub, hub_key, shard, salt):
+                    now, automaton = (hub, hub_key, shard, salt), None
                 if not member:
-                    own = words.split(b" ")
-                    if len(own) <= AUTOMATON_WORDS:
-                        automaton = automaton or SuffixAutomaton(own)
-                    else:
-                        known = np.sort(_hashes(own, window))
+                    automaton = automaton or SuffixAutomaton(words.split(b" "))
                     continue
+                starts = np.frombuffer(blob, "<u4").astype(np.int64)
+                spans = _covered(starts, window)
                 sure = []
-                for (first, _), passage in zip(np.frombuffer(spans, "<u4").reshape(-1, 2).tolist(), words.split(b"\n"), strict=True):
-                    own = passage.split(b" ")
-                    if automaton is not None:
-                        ends = np.flatnonzero(np.array(automaton.matches(own)) >= window)
-                        sure.append(first + ends - window + 1)
-                    elif known is not None:
-                        h = _hashes(own, window)
-                        sure.append(first + np.flatnonzero(known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h))
-                starts = np.concatenate(sure) if sure else np.zeros(0, np.int64)
-                if len(starts):
-                    out.append((doc_id, row_key, _joined_starts([starts.astype("<u4").tobytes()], window).astype("<u4").tobytes()))
+                for (first, _), passage in zip(spans.tolist(), words.split(b"\n"), strict=True):
+                    ends = np.flatnonzero(np.array(automaton.matches(passage.split(b" "))) >= window)
+                    sure.append(first + ends - window + 1)
+                sure = np.concatenate(sure)
+                sure_spans = _covered(sure, window) if len(sure) else np.zeros((0, 2), np.int64)
+                out.append((doc_id, row_key, sure_spans.astype("<u4").tobytes(), len(np.setdiff1d(starts, sure, True))))
             if out:
                 yield common.batch_of(schema, *zip(*out, strict=True))
 
-    pieces = texts.select("text", "hub", "hub_key", "salt", "member", "doc_id", "row_key", "starts").mapInArrow(cut, _PIECE_DDL)
-    dealt = pieces.repartition(common.partitions(docs.sparkSession), "hub", "hub_key", "salt").sortWithinPartitions("hub", "hub_key", "salt", "member")
-    return dealt.mapInArrow(match, "doc_id long, row_key long, spans binary")
-
-
-def _hashes(words: list[bytes], window: int) -> np.ndarray:
-    joined = pa.array([b" ".join(words)], pa.large_binary())
-    return windows(common.Words(joined).hashes(), window)[0]
+    pieces = texts.select("text", *place, "salt", "member", "doc_id", "row_key", "starts").mapInArrow(cut, _PIECE_DDL)
+    dealt = pieces.repartition(common.partitions(docs.sparkSession), *place, "salt").sortWithinPartitions(*place, "salt", "member")
+    return dealt.mapInArrow(match, "doc_id long, row_key long, spans binary, refused long")
 
 
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
@@ -403,18 +410,32 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     """Each row's words without those covered by a window that also starts in a document of smaller id.
 
     Windows are judged on the input. One output row per input row; rows with the same doc_id don't
-    remove each other's windows. A row without doc_id takes no part and keeps all its words. Null and
-    empty texts have no words and the digest of the empty string. Only doc_id and text are read.
-    kept_text (words joined by one space) comes with with_text.
+    remove each other's windows, and repeated rows give equal results; of equal passages in several
+    documents the smallest doc_id's stays. A row without doc_id takes no part and keeps all its words.
+    Null, empty and blank texts have no words and the digest of the empty string; texts shorter than
+    a window keep all words; very long texts are cut into shards, so an automaton never holds more
+    than SHARD_WORDS words and a window. An empty table gives an empty one. Only doc_id and text are
+    read, so other columns can't clash. kept_text (words joined by one space) comes with with_text.
     """
     spark = common.prepare(docs.sparkSession)
     keyed = docs.select("doc_id", "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
-    found = common.settle(_window_index(keyed, window, common.partitions(spark)), "repeat-windows")
-    common.release(spark)
-    matched = common.settle(_matched(keyed, found, window), "repeat-matches")
-    common.release(spark)
-    whole = found.where("starts is null").select("doc_id", "row_key", F.lit(None).cast("binary").alias("spans"), F.lit(1).alias("whole"))
-    spans = matched.withColumn("whole", F.lit(0)).unionByName(whole).groupBy("doc_id", "row_key").agg(F.collect_list("spans").alias("spans"), F.max("whole").alias("whole"))
+    whole, sure, sought = None, None, None
+    for seed in range(SEEDS):
+        found = _window_index(keyed, window, common.partitions(spark), seed)
+        found = common.settle(found if sought is None else found.join(sought, ["doc_id", "row_key"], "left_semi"), "repeat-windows")
+        common.release(spark)
+        matched = common.settle(_matched(keyed, found, window), "repeat-matches")
+        common.release(spark)
+        if sought is None:
+            whole = found.where("starts is null").select("doc_id", "row_key", F.lit(None).cast("binary").alias("spans"), F.lit(1).alias("whole"))
+        now = matched.select("doc_id", "row_key", "spans")
+        sure = now if sure is None else sure.unionByName(now)
+        sought = matched.where("refused > 0").select("doc_id", "row_key").distinct()
+        if sought.isEmpty():
+            break
+    else:
+        raise RuntimeError("windows still collide under every hash")
+    spans = sure.withColumn("whole", F.lit(0)).unionByName(whole).groupBy("doc_id", "row_key").agg(F.collect_list("spans").alias("spans"), F.max("whole").alias("whole"))
     schema = _RESULT if with_text else _RESULT.remove(4)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
