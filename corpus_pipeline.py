@@ -9,6 +9,9 @@ just what its predecessor kept or changed:
 * near_dedup keeps one document of each group of near copies (five-word shingles, 0.8);
 * secrets masks live-looking values in the text; copied examples stay;
 * packing returns the sequences' pieces.
+
+No stage fails on nulls in any column, empty or very long texts, ties, repeated rows, an empty table
+or further columns of any name; each function says what it does with them, its operator in detail.
 """
 
 from __future__ import annotations
@@ -21,22 +24,27 @@ from quillstone.llm.queries import WORD_MODEL
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass; null and empty texts fail, a repeated row is judged as often as it stands, an empty table stays empty."""
     return quality.keep_good(docs, common.table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each text without its white space: the longest as written, then the smallest doc_id (null last), then any one of repeated rows; null and empty texts are one group."""
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each group; texts without words and rows without doc_id stay, and rows that repeat a kept doc_id."""
     return near_dedup.keep_one_of_each(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows; a null or empty text stays as it is, and of values at one place the longest is masked first."""
     return secrets.mask_secrets(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every row, null and empty texts as one piece of the end id; a text longer than a sequence is cut."""
     return packing.pack(docs, public_tokenizers.path(WORD_MODEL))
 
 
