@@ -9,6 +9,7 @@ page writer (`labelled_pages`), as no table holds labels; more can be given.
 from __future__ import annotations
 
 import random
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -29,12 +30,17 @@ RAW = frozenset("script style textarea title noscript iframe".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 PARAGRAPH_ENDS = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
-_TOKEN = regex.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", regex.S)
+# A quote opens an attribute's value only after an equals sign, so a stray apostrophe ends no tag late.
+_TOKEN = regex.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*>|<\?[^>]*>|</?[A-Za-z](?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+>|[^<]+|<", regex.S)
 _RAW_END = {name: regex.compile(rf"</{name}(?=[\s/>])[^>]*>?", regex.I) for name in RAW}
+#: Where a raw element without an end tag is taken to end: at the next tag that no script writes bare.
+_NEXT_BLOCK = regex.compile(rf"</?(?:head|body|html|{'|'.join(sorted(PARAGRAPH_ENDS))})(?=[\s/>])(?![^<>]*['\"]\s*[;+)])", regex.I)
 _NAME = regex.compile(r"</?([A-Za-z][^\s/>]*)")
 _NAMED = regex.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", regex.I)
 _WORDS = regex.compile(r"[a-z]+")
 _WHITE = regex.compile(r"\s+")
+#: Pages on which a feature must stand to get a weight.
+LEAST_PAGES = 3
 
 
 @dataclass
@@ -86,7 +92,7 @@ def blocks(html: str) -> list[Block]:
                 leave(depth)
                 links = 0
             continue
-        if name == "br" or name == "wbr":
+        if name == "br":
             parts.append(" ")
         if name == "a":
             links += 1
@@ -103,9 +109,8 @@ def blocks(html: str) -> list[Block]:
         hidden += name in HIDDEN
         if name in RAW:  # holds no tags: only its own end tag counts, wherever it stands
             end = _RAW_END[name].search(html, at)
-            if end is None:
-                break
-            at = end.end()
+            after = None if end else _NEXT_BLOCK.search(html, at)
+            at = end.end() if end else after.start() if after else len(html)
             leave(len(stack) - 1)
     close()
     return out
@@ -116,8 +121,12 @@ def features(page: list[Block]) -> list[list[str]]:
     for i, b in enumerate(page):
         tags = [t for t, _ in b.path]
         own = {f"in:{t}" for t in tags} | {f"tag:{tags[-1]}" if tags else "tag:"} | {f"tag2:{'/'.join(tags[-2:])}"}
-        for _, names in b.path:
-            own |= {f"name:{w}" for w in _WORDS.findall(names)}
+        near: list[str] = []
+        for tag, names in b.path:
+            if names and tag not in ("html", "body"):  # those name the kind of page, not a part of it
+                near = _WORDS.findall(names)
+                own |= {f"name:{w}" for w in near}
+        own |= {f"near:{w}" for w in near}  # the innermost names
         size = len(b.text)
         words = b.text.count(" ") + 1
         own |= {f"size:{min(8, int(np.log2(size)))}", f"words:{min(7, int(np.log2(words)))}", f"links:{int(4 * b.linked / size)}", f"stops:{min(3, sum(b.text.count(c) for c in '.!?'))}"}
@@ -156,10 +165,11 @@ class Chain:
         return np.array(out[::-1])
 
 
-def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 150, rate: float = 0.3, l2: float = 0.02) -> Chain:
-    """Maximum likelihood by Adagrad; forward and backward run over all pages at once, place by place."""
+def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 100, rate: float = 0.3, l2: float = 0.02) -> Chain:
+    """Maximum likelihood by Adagrad; features on fewer than LEAST_PAGES pages are left out; forward and backward run over all pages at once, place by place."""
     rows = [(features(p), y) for p, y in pages if p]
-    names = sorted({f for x, _ in rows for own in x for f in own})
+    pages_with = Counter(f for x, _ in rows for f in {f for own in x for f in own})
+    names = sorted(f for f, n in pages_with.items() if n >= LEAST_PAGES)
     number = {f: i for i, f in enumerate(names)}
     longest = max(len(y) for _, y in rows)
     n = len(rows)
@@ -168,8 +178,8 @@ def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 150, rate: f
     for i, (x, y) in enumerate(rows):
         gold[i, : len(y)], real[i, : len(y)] = y, True
         for t, own in enumerate(x):
-            cell += [i * longest + t] * len(own)
-            feature += [number[f] for f in own]
+            cell += [i * longest + t] * sum(f in number for f in own)
+            feature += [number[f] for f in own if f in number]
     cell, feature = np.array(cell), np.array(feature)
     size = real.sum(1)
     last = np.arange(n), size - 1
@@ -212,122 +222,148 @@ def train(pages: list[tuple[list[Block], list[int]]], rounds: int = 150, rate: f
 
 # ---- labelled pages ----
 
-_OPEN, _MARK = "\ue000", "\ue001"  # private characters: begin main text, begin other text
+_MAIN, _OTHER = "\ue000", "\ue001"  # private characters before each text: main text, other text
+
+# What stands around an article: (tags, class and id names, what it holds).
+_FURNITURE = (
+    ("nav ul div", "nav navbar navigation menu mainmenu topnav links tabs", "links"),
+    ("header div", "header masthead branding logo site-title tagline top", "label"),
+    ("aside div section", "sidebar aside side column rail widget widgets", "box"),
+    ("div section aside", "ad ads advert advertisement adslot sponsor sponsored promo promotion banner", "pitch"),
+    ("div section", "cookie cookies consent gdpr privacy notice alert warning message announcement", "pitch"),
+    ("form div", "search searchbox subscribe newsletter signup register login contact", "form"),
+    ("div ul p", "share sharing social follow breadcrumb breadcrumbs crumbs tags categories pagination pager", "links"),
+    ("div p span", "meta byline author dateline date posted published", "label"),
+    ("div section aside", "related recommended popular trending teaser teasers readmore recirculation", "links"),
+    ("div section ol ul", "comments comment-list responses replies discussion respond thread", "comments"),
+    ("footer div", "footer foot colophon copyright legal bottom", "footer"),
+)
+_CONTENT = "article post entry story content article-body post-content entry-content main-text body-text prose page-content text"
 
 
 def labelled_pages(count: int = 400, seed: int = 11) -> list[tuple[list[Block], list[int]]]:
     """Pages of many layouts with the truth about each block, written by rule from a seed.
 
-    Main text stands in an article element, a main element or a named division; around and inside it
-    are menus, headers, notices, adverts, sidebars, forms, share bars, comments and footers.
+    A page draws a skeleton (semantic tags, named divisions, bare divisions or a layout table), puts
+    the article into it, and furniture before, after, beside and now and then inside the article.
     """
     rnd = random.Random(seed)
-    letters = ("a e i o u er en an on th st re ing ion".split(), "b c d f g l m n p r s t v".split())
+    pick = rnd.choice
 
     def word() -> str:
-        return "".join(rnd.choice(letters[1]) + rnd.choice(letters[0]) for _ in range(rnd.randint(1, 3)))
-
-    def words(a: int, b: int) -> str:
-        return " ".join(word() for _ in range(rnd.randint(a, b)))
-
-    def sentence(a: int = 3, b: int = 18) -> str:
-        return words(a, b).capitalize() + rnd.choice([".", ".", ".", "!", "?", ""])
-
-    def prose() -> str:
-        return " ".join(sentence() for _ in range(rnd.choice([1, 1, 1, 2, 3, 5, 9])))
-
-    def other(text: str) -> str:
-        return _MARK + text
-
-    def main(text: str) -> str:
-        return _OPEN + text
-
-    def links(tag: str = "li") -> str:
-        return "".join(f'<{tag}><a href="/{word()}">{other(words(1, 3))}</a></{tag}>' for _ in range(rnd.randint(2, 9)))
-
-    def named(options: str) -> str:
-        name = rnd.choice(options.split())
-        return rnd.choice([f' class="{name}"', f' class="{name} {word()}"', f' id="{name}"', f' class="{word()} site-{name}"'])
-
-    def furniture() -> str:
-        kind = rnd.randrange(11)
-        if kind == 0:
-            return f"<nav{rnd.choice(['', named('nav menu main-nav')])}><ul>{links()}</ul></nav>"
-        if kind == 1:
-            return f"<header><div{named('logo brand')}>{other(words(1, 3))}</div>{rnd.choice(['', f'<p>{other(sentence())}</p>'])}</header>"
-        if kind == 2:
-            return f"<div{named('ad ads advert advertisement banner promo sponsored')}>{rnd.choice(['', '<p>'])}{other(prose())}</div>"
-        if kind == 3:
-            return f"<aside{rnd.choice(['', named('sidebar related widget')])}><h3>{other(words(1, 3))}</h3>{rnd.choice([f'<ul>{links()}</ul>', f'<p>{other(prose())}</p>'])}</aside>"
-        if kind == 4:
-            return f"<div{named('cookie cookie-notice notice consent banner alert message')}>{other(prose())}<button>ok</button></div>"
-        if kind == 5:
-            return f"<form{rnd.choice(['', named('search subscribe newsletter login')])}><label>{other(words(1, 3))}</label><input name=q><p>{other(sentence())}</p></form>"
-        if kind == 6:
-            items = "".join(f"<{t}{named('comment reply')}><p>{other(prose())}</p></{t}>" for t in [rnd.choice(["div", "li", "article"])] * rnd.randint(1, 4))
-            return f"<{(t := rnd.choice(['section', 'div', 'ol']))}{named('comments comment-list responses discussion disqus')}>{rnd.choice(['', f'<h2>{other(words(1, 3))}</h2>'])}{items}</{t}>"
-        if kind == 7:
-            return f"<div{named('share social breadcrumb breadcrumbs tags meta byline pagination pager')}>{rnd.choice([links('span'), other(words(2, 6))])}</div>"
-        if kind == 8:
-            return f"<div{named('related recommended more-stories teaser sidebar widget popular')}><h4>{other(words(1, 4))}</h4>{links(rnd.choice(['p', 'div', 'li']))}</div>"
-        if kind == 9:
-            return f"<ul{named('menu nav navigation topbar')}>{links()}</ul>"
-        return f"<div{named('newsletter subscribe signup popup modal login')}><p>{other(prose())}</p></div>"
-
-    def footer() -> str:
-        text = f"&copy; {word()}.example.com &middot; {sentence()}"
-        return rnd.choice([f"<footer>{other(text)}</footer>", f"<footer><p>{other(text)}</p><ul>{links()}</ul></footer>", f"<div{named('footer copyright legal bottom')}>{other(text)}</div>"])
-
-    def body() -> str:
-        out = [rnd.choice(["", f"<h1>{main(words(1, 12))}</h1>", f"<h1>{main(sentence())}</h1>", f"<header><h1>{main(words(2, 9))}</h1></header>"])]
-        for _ in range(rnd.choice([0, 1, 2, 3, 5, 8, 13, 25])):
-            kind = rnd.randrange(24)
-            if kind < 13:
-                out.append(f"<p>{main(prose())}</p>")
-            elif kind == 13:
-                out.append(f"<p><b>{main(prose())}<br>")
-            elif kind == 14:
-                out.append(f"<h2>{main(words(1, 6))}</h2>")
-            elif kind == 15:
-                out.append("<ul>" + "".join(f"<li>{main(words(1, 12))}</li>" for _ in range(rnd.randint(2, 5))) + "</ul>")
-            elif kind == 16:
-                out.append(f"<blockquote><p>{main(prose())}</p></blockquote>")
-            elif kind == 17:
-                out.append(f"<pre>{main(words(3, 20))}</pre>")
-            elif kind == 18:
-                out.append("<table>" + "".join(f"<tr><td>{main(words(1, 4))}</td><td>{main(words(1, 4))}</td></tr>" for _ in range(rnd.randint(1, 3))) + "</table>")
-            elif kind == 19:
-                out.append(f'<p>{main(words(1, 8))} <a href="/x">{words(1, 5)}</a> {sentence()}</p>')
-            elif kind == 20:
-                out.append(f"<div>{main(prose())}</div>")
-            elif kind == 21:
-                out.append(f"<p>{main(words(1, 2))}.</p>")
-            elif rnd.random() < 0.5:
-                out.append(furniture())
-        return "".join(out)
-
-    pages = []
-    for _ in range(count):
-        kind = rnd.randrange(10)
-        if kind < 6:
-            core = f"<article{rnd.choice(['', named('post entry article story')])}>{body()}</article>"
-        elif kind == 6:
-            core = f"<main>{rnd.choice(['', '<article>'])}{body()}</main>"
+        return "".join(pick("bcdfghklmnprstvw") + pick("aeiou") + pick(["", "", "n", "r", "s", "l"]) for _ in range(rnd.choice([1, 1, 2, 2, 3])))
+
+    def phrase(most: int) -> str:
+        return " ".join(word() for _ in range(rnd.randint(1, most)))
+
+    def sentences(most: int) -> str:
+        return " ".join(phrase(20).capitalize() + pick([".", ".", ".", ".", "?", "!", ":", ""]) for _ in range(rnd.randint(1, most)))
+
+    def inline(text: str) -> str:
+        """Some words of a text as a link, emphasised or broken by a line end."""
+        words = text.split(" ")
+        for _ in range(rnd.choice([0, 0, 0, 1, 2])):
+            k, tag = rnd.randrange(len(words)), pick(["a", "em", "strong", "code", "i", "span"])
+            words[k] = f"<{tag}{' href=/' + word() if tag == 'a' else ''}>{words[k]}</{tag}>"
+        if rnd.random() < 0.1:
+            words[rnd.randrange(len(words))] += pick(["<br>", "<br/>"])
+        return " ".join(words)
+
+    def attributes(names: str) -> str:
+        own = pick(names.split())
+        more = pick(["", "", f" {word()}", f" {word()}-{word()}", f" {own}--{word()}"])
+        return pick([f' class="{own}{more}"', f" class='{own}{more}'", f' id="{own}"', f" id={own}", f' id="{word()}" class="{own}"', f' class="{word()} {word()}-{own}"', f' role="{own}"'])
+
+    def element(tag: str, inner: str, names: str = "") -> str:
+        end = "" if tag in ("p", "li", "td", "tr") and rnd.random() < 0.2 else f"</{tag}>"
+        return f"<{tag}{attributes(names) if names else ''}>{inner}{end}"
+
+    def links(tag: str) -> str:
+        if tag not in ("ul", "ol") and rnd.random() < 0.25:
+            return pick([" ", " | ", "<br>", " &middot; "]).join(f'<a href="/{word()}">{_OTHER}{phrase(3)}</a>' for _ in range(rnd.randint(1, 6)))
+        inner = pick(["li", "li", "span", "p", "div"]) if tag not in ("ul", "ol") else "li"
+        each = [element(inner, f'<a href="/{word()}">{_OTHER}{phrase(4)}</a>') for _ in range(rnd.randint(1, 10))]
+        return "".join(each) if inner != "li" or tag in ("ul", "ol") else f"<ul>{''.join(each)}</ul>"
+
+    def furniture(which: int | None = None) -> str:
+        tags, names, holds = _FURNITURE[rnd.randrange(len(_FURNITURE) - 1) if which is None else which]
+        tag = pick(tags.split())
+        named = names if tag in ("div", "section", "ul", "ol", "p", "span") or rnd.random() < 0.5 else ""
+        wrap = lambda text: text if rnd.random() < 0.4 else element(pick(["p", "div", "h3", "h4", "span"]), text)
+        if holds == "links":
+            inner = (element(pick(["h2", "h3", "h4", "div"]), _OTHER + phrase(4)) if tag not in ("ul", "ol", "p") and rnd.random() < 0.4 else "") + (links(tag) if tag != "p" else links("span").replace("<div", "<span").replace("</div", "</span"))
+        elif holds == "label":
+            inner = wrap(_OTHER + phrase(7)) + (wrap(_OTHER + sentences(1)) if tag in ("header", "div") and rnd.random() < 0.3 else "")
+        elif holds == "box":
+            inner = element(pick(["h2", "h3", "h4"]), _OTHER + phrase(4)) + pick([links("div"), element("p", _OTHER + sentences(4)), element("p", _OTHER + sentences(2)) + links("div")])
+        elif holds == "pitch":
+            inner = pick(["", element("h3", _OTHER + phrase(5))]) + wrap(_OTHER + sentences(pick([1, 2, 6]))) + pick(["", f"<button>{phrase(2)}</button>", element("p", f"<a href=/{word()}>{_OTHER}{phrase(3)}</a>")])
+        elif holds == "form":
+            inner = pick(["", element(pick(["h3", "p"]), _OTHER + sentences(1))]) + f"<label>{_OTHER}{phrase(2)}</label><input name={word()}>" + pick(["", f"<select><option>{word()}<option>{word()}</select>", f"<textarea>{phrase(4)}</textarea>"])
+        elif holds == "comments":
+            inside = "li" if tag in ("ol", "ul") else pick(["div", "article", "section", "p"])
+            one = lambda: element(inside, pick(["", f"<cite>{phrase(2)}</cite> "]) * (inside != "p") + (_OTHER + sentences(4) if inside == "p" else element("p", _OTHER + sentences(4)) + pick(["", element("p", _OTHER + sentences(2)), element("div", f"<a href=#>{_OTHER}{word()}</a>")])), "comment reply response" if rnd.random() < 0.7 else "")
+            heading = "" if tag in ("ol", "ul") else pick(["", element(pick(["h2", "h3"]), _OTHER + phrase(4))])
+            inner = heading + "".join(one() for _ in range(rnd.randint(1, 6)))
+        else:
+            text = _OTHER + pick(["&copy; ", "\u00a9 ", "", "(c) "]) + phrase(6) + pick(["", " &middot; " + phrase(4), ". " + sentences(2)])
+            inner = pick([text, element("p", text), element("p", text) + links("div"), element("div", links("div")) + element("small", text)])
+        return element(tag, inner, named)
+
+    def block() -> str:
+        kind = rnd.random()
+        if kind < 0.55:
+            return element(pick(["p", "p", "p", "p", "p", "div"]), _MAIN + inline(sentences(pick([1, 2, 4, 9, 25]))))
+        if kind < 0.64:
+            return element(pick(["h2", "h2", "h3", "h4"]), _MAIN + inline(phrase(9)))
+        if kind < 0.71:
+            tag = pick(["ul", "ol"])
+            return element(tag, "".join(element("li", _MAIN + inline(pick([phrase(4), sentences(2)]))) for _ in range(rnd.randint(1, 7))))
+        if kind < 0.76:
+            return element("blockquote", pick([_MAIN + sentences(3), element("p", _MAIN + sentences(3)) + element("footer", _MAIN + phrase(3))]))
+        if kind < 0.8:
+            return element("pre", _MAIN + "\n".join(phrase(6) for _ in range(rnd.randint(1, 6))))
+        if kind < 0.84:
+            cells = lambda t: element("tr", "".join(element(t, _MAIN + phrase(4)) for _ in range(3)))
+            return element("table", cells("th") + "".join(cells("td") for _ in range(rnd.randint(1, 4))))
+        if kind < 0.87:
+            return element("figure", f"<img src={word()}.png>" + element("figcaption", _MAIN + phrase(12)))
+        return furniture(rnd.randrange(len(_FURNITURE) - 2)) if rnd.random() < 0.85 else f"<script>if(a<b&&c>d){{{word()}('<p>{word()}</p>')}}</script>"
+
+    def article() -> str:
+        heading = pick(["", element("h1", _MAIN + inline(phrase(12))), element("h1", _MAIN + sentences(2)), element("header", element("h1", _MAIN + phrase(9)))])
+        return heading + "".join(block() for _ in range(rnd.choice([0, 1, 1, 2, 3, 4, 6, 9, 15, 30])))
+
+    def page() -> str:
+        before, after = "".join(furniture() for _ in range(rnd.randint(0, 5))), "".join(furniture() for _ in range(rnd.randint(0, 3)))
+        foot = furniture(len(_FURNITURE) - 1) if rnd.random() < 0.9 else ""
+        skeleton, text = rnd.random(), article()
+        if skeleton < 0.45:
+            core = element("article", text, _CONTENT if rnd.random() < 0.5 else "")
+            core = pick([core, core, f"<main>{core}</main>", f"<main>{furniture()}{core}{furniture()}</main>"])
+        elif skeleton < 0.6:
+            core = element("main", pick([text, element("section", text), element("div", text, _CONTENT)]))
+        elif skeleton < 0.9:
+            core = element("div", pick([text, element("div", text)]), _CONTENT)
         else:
-            core = f"<div{named('content post article entry-content story main-content post-body text')}>{body()}</div>"
-        if rnd.random() < 0.3:
-            core = f"<main>{core}</main>"
-        before = "".join(furniture() for _ in range(rnd.randint(0, 4)))
-        after = "".join(furniture() for _ in range(rnd.randint(0, 3))) + (footer() if rnd.random() < 0.9 else "")
-        head = f"<!DOCTYPE html><html><head><title>{words(1, 8)}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body>"
-        found = blocks(f"{head}{before}<!-- {word()} -->{core}{after}</body></html>")
-        labels = [int(_OPEN in b.text) for b in found]
+            core = f"<table><tr><td{attributes('left nav menu')}>{pick([links('ul'), links('td')])}<td{attributes(_CONTENT)}>{text}</table>"
+        if rnd.random() < 0.4:
+            core = f"<div{attributes('wrapper container page wrap layout row')}>{before}{core}{after}</div>"
+            before = after = ""
+        head = f"<head><title>{phrase(8)}</title>{pick(['', f'<style>.{word()}{{color:red}}</style>'])}</head>"
+        return f"<html>{head}<body>{before}{core}{after}{foot}</body></html>"
+
+    out = []
+    for _ in range(count):
+        found = blocks(page())
+        # A text is main text if that is what its first mark says; one without any mark (the name of a comment's author) is not.
+        labels = [int(next((c for c in b.text if c in _MAIN + _OTHER), _OTHER) == _MAIN) for b in found]
         for b in found:
             size = len(b.text)
-            b.text = b.text.replace(_OPEN, "").replace(_MARK, "")
-            b.linked = max(0, b.linked - (size - len(b.text)))
-        pages.append(([b for b in found if b.text], [y for b, y in zip(found, labels, strict=True) if b.text]))
-    return pages
+            b.text = b.text.replace(_MAIN, "").replace(_OTHER, "")
+            b.linked = max(0, min(b.linked - (size - len(b.text)), len(b.text)))
+        out.append(([b for b in found if b.text], [y for b, y in zip(found, labels, strict=True) if b.text]))
+    return out
 
 
 @lru_cache(maxsize=1)
@@ -344,8 +380,10 @@ def extract_pages(pages: DataFrame, chain: Chain | None = None) -> DataFrame:
     """The main text of each page: its blocks in page order, joined by two newlines.
 
     One row per input row, repeated rows included. A null or empty html, and a page without main
-    text, give the empty string; a null page_id or url stays null. Only page_id, url and html are
-    read, so other columns can't clash. No shuffle; the chain has a few hundred weights.
+    text, give the empty string; a null page_id or url stays null; of equally likely labels a block's
+    is other text. A very long page is held by one worker with its blocks; an empty table gives an
+    empty one. Only page_id, url and html are read, so other columns can't clash. No shuffle; the
+    chain has some hundred weights.
     """
     spark = common.prepare(pages.sparkSession)
     held = spark.sparkContext.broadcast(chain or default_chain())
