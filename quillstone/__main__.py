@@ -1,4 +1,4 @@
-"""Commands: generate, validate, load, affected, runs, daily, backfill, judge, backtest, impact."""
+"""Commands: generate, validate, load, affected, export, runs, daily, backfill, judge, backtest, impact."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import dataclasses
 import json
 import sys
 
+from quillstone import settings
 from quillstone.functions.core import parse_periods
 
 
@@ -28,8 +29,9 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument(flag, **settings)
         return p
 
-    source, raw = ("--source", {"default": "data/source"}), ("--raw", {"default": "data/raw"})
-    warehouse, run_id = ("--warehouse", {"default": "data/warehouse"}), ("--run-id", {"default": None})
+    own = settings.load()
+    source, raw = ("--source", {"default": own.source}), ("--raw", {"default": own.raw})
+    warehouse, run_id = ("--warehouse", {"default": own.warehouse}), ("--run-id", {"default": None})
     tables, family = ("--table", {"action": "append", "dest": "tables"}), ("--family", {"default": "quantile_linear"})
     g = add("generate", ("--seed", {"type": int, "default": 42}), ("--periods", {"default": "2026-01:2026-12"}), ("--entries-per-period", {"type": int, "default": 1000}), ("--out", {"default": "data/source"}), ("--schema-drift", {"choices": DRIFTS, "default": "none"}), ("--schema-drift-table", {"default": "gl_entry"}))
     for f in dataclasses.fields(Config):
@@ -39,10 +41,11 @@ def parser() -> argparse.ArgumentParser:
     add("load", source, raw, tables, ("--overlap-days", {"type": int, "default": 7}), ("--full", {"action": "store_true"}), run_id)
     add("affected", raw, ("--clear", {"action": "store_true"}))
     add("runs", raw, ("--run", {"default": None}), ("--limit", {"type": int, "default": 20}))
+    add("export", raw, ("--out", {"default": own.landing}), run_id)
     for name in ("daily", "backfill"):
-        add(name, source, raw, warehouse, ("--periods", {"default": None}), run_id, family, ("--orchestrator", {"default": None}), ("--orchestrator-run-id", {"default": None}))
+        add(name, source, raw, warehouse, ("--periods", {"default": None, "required": name == "backfill"}), run_id, family, ("--orchestrator", {"default": None}), ("--orchestrator-run-id", {"default": None}))
     add("judge", warehouse, ("--periods", {"nargs": "+", "required": True}), ("--run-id", {"required": True}), family)
-    add("backtest", warehouse, ("--splits", {"type": int, "default": 5}), ("--out", {"default": "backtest.json"}))
+    add("backtest", warehouse, ("--splits", {"type": int, "default": 5}), ("--random-state", {"type": int, "default": 0}), ("--out", {"default": "backtest.json"}))
     add("impact", ("table", {}))
     return top
 
@@ -54,7 +57,8 @@ def main(argv: list[str] | None = None) -> int:
     except SystemExit as stop:
         return int(stop.code or 0)
     from quillstone.plans import mart, pipeline, runlog
-    from quillstone.sources import generator, loader
+    from quillstone.sources import files, generator, loader
+    from quillstone.sources import raw as raw_layer
 
     try:
         if a.command == "generate":
@@ -81,12 +85,15 @@ def main(argv: list[str] | None = None) -> int:
                 print(json.dumps({"periods": sorted(held.periods), "dimension_versions": held.versions(spark).count()}))
                 if a.clear:
                     held.clear(spark, a.raw)
+            elif a.command == "export":
+                for table, kinds in mart.export_landing(spark, a.raw, a.out, a.run_id or runlog.new_run_id()).items():
+                    print(f"{table}: " + ", ".join(f"{c} {k}" for c, k in kinds.items()))
             elif a.command == "runs":
                 for r in runlog.RunLog(spark, a.raw).runs(None if a.run else a.limit):
                     if a.run in (None, r.run_id):
                         print(f"{r.run_id} {r.status} " + " ".join(f"{s}={d['status']}" for s, d in r.attempts[-1].steps.items()))
             elif a.command in pipeline.PIPELINES:
-                context = pipeline.Context(spark, a.source, a.raw, a.warehouse, a.run_id or runlog.new_run_id(), parse_periods(a.periods) if a.periods else None, a.family)
+                context = pipeline.Context(spark, a.source, a.raw, a.warehouse, a.run_id or runlog.new_run_id(), parse_periods(a.periods) if a.periods else None, a.family, force=a.command == "backfill")
                 origin = {k: v for k, v in (("orchestrator", a.orchestrator), ("orchestrator_run_id", a.orchestrator_run_id)) if v}
                 print(pipeline.run(a.command, context, **origin))
             elif a.command == "judge":
@@ -97,11 +104,14 @@ def main(argv: list[str] | None = None) -> int:
                 from quillstone.operators.quantile import backtest
 
                 with open(a.out, "w", encoding="utf-8") as out:
-                    json.dump(backtest(mart.balances(spark, a.warehouse), a.splits), out, indent=1)
+                    json.dump({"random_state": a.random_state, "splits": a.splits, "arms": backtest(mart.balances(spark, a.warehouse), a.splits, a.random_state)}, out, indent=1)
+    except raw_layer.EmptyTable as error:  # a LookupError, but of the data
+        print(error, file=sys.stderr)
+        return 1
     except (loader.StateError, runlog.LogError, KeyError, FileNotFoundError) as error:
         print(error, file=sys.stderr)
         return 2
-    except (loader.Restated, mart.GatesFailed, mart.MartUnavailable, pipeline.ValidationFailed, ValueError) as error:
+    except (loader.Restated, mart.GatesFailed, mart.MartUnavailable, mart.WrongWarehouse, files.LockTimeout, files.Conflict, pipeline.ValidationFailed, ValueError) as error:
         print(error, file=sys.stderr)
         return 1
     return 0

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -12,7 +11,7 @@ import yaml
 #: The column types and the modifiers that each may carry.
 MODIFIERS = {"string": {"allowed"}, "integer": {"min"}, "decimal": {"min", "scale"}, "date": set()}
 TOP_LEVEL = {"table", "primary_key", "columns", "watermark", "partition_by", "rows_are_immutable", "feeds", "row_constraints"}
-REQUIRED = {"table", "primary_key", "columns"}
+REQUIRED = {"table", "primary_key", "columns", "feeds"}
 CONSTRAINTS = {"not_after": {"type", "earlier", "later"}, "exactly_one_nonzero": {"type", "columns"}}
 
 
@@ -69,6 +68,12 @@ def _field(table: str, raw: dict) -> Field:
     return Field(raw["name"], kind, raw["nullable"], tuple(allowed), str(raw["min"]) if "min" in raw else None, raw.get("scale"))
 
 
+def _is_feed(name: str) -> bool:
+    """Two names of lower-case letters, digits and low lines, joined by one dot, neither beginning with a digit."""
+    parts = name.split(".")
+    return len(parts) == 2 and all(p.isidentifier() and p.isascii() and p == p.lower() for p in parts)
+
+
 def parse(raw: dict) -> Contract:
     """A contract from its YAML mapping; every fault is a ContractError that names the place."""
     _need(isinstance(raw, dict), "contract", "must be a mapping")
@@ -86,8 +91,8 @@ def parse(raw: dict) -> Contract:
             f = by_name.get(raw[role])
             _need(f is not None and f.type == "date" and not f.nullable, table, f"{role} must name a date column that is not nullable")
     _need(isinstance(raw.get("rows_are_immutable", False), bool), table, "rows_are_immutable must be true or false")
-    feeds = raw.get("feeds", [])
-    _need(isinstance(feeds, list) and all(isinstance(x, str) and re.fullmatch(r"[a-z_]+\.[a-z_]+", x) for x in feeds), table, "feeds must look like schema.table")
+    feeds = raw["feeds"]
+    _need(isinstance(feeds, list) and feeds and all(isinstance(x, str) and _is_feed(x) for x in feeds), table, "feeds must name at least one schema.table")
     for c in raw.get("row_constraints", []):
         _need(isinstance(c, dict) and c.get("type") in CONSTRAINTS and set(c) == CONSTRAINTS[c["type"]], table, "a row constraint has exactly its own keys")
         used = [c["earlier"], c["later"]] if c["type"] == "not_after" else c["columns"]

@@ -55,14 +55,16 @@ def asof_join(fact: DataFrame, dim: DataFrame, keys: Mapping[str, str], date: st
     valid = F.col(date).between(F.col("__d_valid_from"), F.col("__d_valid_to"))
     month = lambda c: F.year(c) * 12 + F.month(c)
     first = month(F.col("__d_valid_from"))
-    each = dim.groupBy(*[f"__d_{d}" for d in keys.values()]).agg(F.count("*").alias("n"), F.max(first).alias("last"))
-    size = each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.coalesce(F.max("last"), F.lit(0)).alias("last")).first()
+    each = dim.groupBy(*[f"__d_{d}" for d in keys.values()]).agg(F.count("*").alias("n"), F.max(first).alias("last"), F.min(first).alias("start"))
+    nothing = lambda c, name: F.coalesce(c, F.lit(0)).alias(name)
+    size = each.agg(nothing(F.sum("n"), "rows"), nothing(F.max("n"), "most"), nothing(F.max("last"), "last"), F.count("*").alias("keys"), nothing(F.sum("start"), "starts")).first()
     if strategy == "auto":
         strategy = "broadcast" if size["rows"] <= BROADCAST_ROWS and size["most"] <= MANY_VERSIONS else "months"
     if strategy == "broadcast":
         return fact.join(F.broadcast(dim), [*same, valid], how)
     end = F.least(month(F.col("__d_valid_to")), F.lit(size["last"]))
-    n = dim.agg(F.sum(F.greatest(end - first + 1, F.lit(0)))).first()[0] or 0
+    # A key's intervals don't overlap, so cut they are its months from first to last, and one more for each version at most.
+    n = size["keys"] * (size["last"] + 1) - size["starts"] + size["rows"]
     cut = dim.where(first <= end).withColumn("__d_month", F.explode(F.sequence(first, end)))
     binned = fact.withColumn("__month", F.least(month(F.col(date)), F.lit(size["last"])))
     return binned.join(F.broadcast(cut) if n <= BROADCAST_ROWS else cut, [*same, F.col("__month") == F.col("__d_month"), valid], how).drop("__month", "__d_month")

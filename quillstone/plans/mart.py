@@ -127,6 +127,15 @@ def sweep(spark: SparkSession, warehouse: str, keep: int = 1) -> list[str]:
     return gone
 
 
+def export_landing(spark: SparkSession, root: str, out: str, run_id: str) -> dict[str, dict[str, str]]:
+    """Copy every table of the raw layer out, below a folder of this run: table -> exported type of each column.
+
+    A table of which nothing has been loaded is refused before any is copied.
+    """
+    tables = {t: raw.read(spark, root, c, required=c.partition_by is not None) for t, c in all_contracts().items()}
+    return {t: raw.export(rows, f"{out}/{run_id}/{t}") for t, rows in tables.items()}
+
+
 # ---- building ----
 
 NOT_NULL = {

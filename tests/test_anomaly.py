@@ -1,5 +1,7 @@
 """Features, arms and the decision rule."""
 
+import itertools
+
 import numpy as np
 import pytest
 
@@ -48,6 +50,23 @@ def test_linear_arm_reaches_the_optimum():
                 assert loss <= arm._loss(y - arm.predict(x) - s[0] - x @ s[1:]) + 1e-5
 
 
+@pytest.mark.parametrize("penalty", [1e-3, 0.05])
+def test_linear_arm_solves_its_programme(penalty):
+    """The best of all vertices: an optimum has as many zero residuals and zero weights as there are weights."""
+    draw = np.random.default_rng(4)
+    for n, k in ((12, 2), (25, 1)):
+        x = draw.normal(size=(n, k))
+        y = 3 + 2 * x[:, 0] + draw.normal(size=n) * (1 + np.abs(x[:, 0]))
+        for q in quantile.QUANTILES:
+            arm = quantile.LinearQuantile(q, penalty).fit(x, y)
+            z, t, weight = (x - arm.shift) / arm.scale, y / arm.unit, penalty / arm.scale
+            sides = np.vstack([np.column_stack([np.ones(n), z]), np.eye(k + 1)[1:]])
+            values = np.concatenate([t, np.zeros(k)])
+            corners = [list(c) for c in itertools.combinations(range(n + k), k + 1) if abs(np.linalg.det(sides[list(c)])) > 1e-9]
+            best = min(arm._objective(t, z, np.linalg.solve(sides[c], values[c]), weight) for c in corners)
+            assert abs(arm._objective(t, z, arm.weights, weight) - best) < 1e-7
+
+
 def test_boosted_arm_orders_quantiles():
     x = np.random.default_rng(1).uniform(size=(300, 1))
     y = x[:, 0] * 10 + np.random.default_rng(2).normal(size=300)
