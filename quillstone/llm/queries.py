@@ -56,7 +56,54 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_docs(spark, sf_dir), size=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op3_substring_dedup, op4_secrets, op5_packing, op6_exact_dedup, op7_hmm, op8_html, op9_token_counts, op10_near_dedup)}
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op2 that SQL can say."""
+    return op2_quality(spark, sf_dir).drop("kept", "score")
+
+
+def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op4 that SQL can say."""
+    return op4_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality, op3_substring_dedup, op4_secrets, op5_packing, op6_exact_dedup, op7_hmm, op8_html, op9_token_counts, op10_near_dedup, quality_base, secrets_base)}
+
+QUALITY_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+  SELECT rid, p, count(*) OVER (PARTITION BY rid, body) AS n
+  FROM (SELECT rid, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS body FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS p FROM d))
+), covered AS (
+  SELECT rid, count(DISTINCT pos) AS n FROM (SELECT rid, unnest([p, p + 1, p + 2]) AS pos FROM grams WHERE n > 1) GROUP BY rid
+), counted AS (
+  SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines, coalesce(n, 0) AS n_repeat_words
+  FROM d LEFT JOIN covered USING (rid)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+"""
+
+_ASSIGN = secrets.ASSIGN.replace("'", "''")
+_KINDS = ((_ASSIGN, f"length(regexp_extract(hit, '^{_ASSIGN}$', 2)) >= 12"), ("AKIA[A-Z0-9]+", "length(hit) >= 18"), ("[0-9a-f]+", "length(hit) >= 16"))
+# Matches and the pieces between them add up to positions.
+SECRETS_SQL = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents
+), found AS (
+  {" UNION ALL ".join(f"SELECT rid, {k} AS kind, regexp_extract_all(t, '{p}') AS h, string_split_regex(t, '{p}') AS g FROM d" for k, (p, _) in enumerate(_KINDS))}
+), each AS (
+  SELECT rid, kind, unnest(h) AS hit, unnest(g[1:len(h)]) AS gap, unnest(range(len(h))) AS i FROM found
+), placed AS (
+  SELECT rid, kind, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY rid, kind ORDER BY i) AS stop FROM each
+), kept AS (
+  SELECT rid, kind, stop - length(hit) AS start, stop FROM placed WHERE {" OR ".join(f"kind = {k} AND {c}" for k, (_, c) in enumerate(_KINDS))}
+), spans AS (
+  SELECT rid, count(*) FILTER (WHERE kind = 0) AS a, count(*) FILTER (WHERE kind = 1) AS b, count(*) FILTER (WHERE kind = 2) AS c,
+    string_agg(['assign', 'access', 'hex'][kind + 1] || ':' || CAST(start AS VARCHAR) || ':' || CAST(stop AS VARCHAR), ',' ORDER BY start, kind) AS joined FROM kept GROUP BY rid
+)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(joined, '')) AS base_sha256 FROM d LEFT JOIN spans USING (rid)
+"""
 
 OP6_SQL = r"""
 WITH d AS (
@@ -111,4 +158,4 @@ WITH RECURSIVE d AS (
 SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN least USING (doc_id)
 """
 
-ORACLES = {"op3_substring_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op10_near_dedup": OP10_SQL}
+ORACLES = {"quality_base": QUALITY_SQL, "secrets_base": SECRETS_SQL, "op3_substring_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op10_near_dedup": OP10_SQL}

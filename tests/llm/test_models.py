@@ -99,6 +99,25 @@ def test_op4(rows, awkward, empty):
     assert secrets.scan_secrets(awkward).count() == len(AWKWARD) and secrets.scan_secrets(empty).count() == 0
 
 
+def test_op4_positions_in_texts_of_many_matches(rows):
+    """Matches in several blocks of blocks, of all kinds, next to each other and far apart."""
+    rnd = random.Random(8)
+    digits = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    forms = [lambda: digits(rnd.randint(14, 20)), lambda: f"token={digits(13)}", lambda: f"AKIA{digits(15).upper()}", lambda: "\u00e9t\u00e9", lambda: f"Zq{digits(20)}Q"]
+    texts = [" ".join(rnd.choice(forms)() for _ in range(n)) for n in (1, 127, 128, 129, 700, 20_000)]
+    got = {r.doc_id: r for r in secrets.scan_secrets(rows("doc_id long, text string, source string", *[(i, t, "s") for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        want = brute_spans(t)
+        assert got[i].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+        taken = [tuple(map(int, x.split(":")[1:])) for x in want.split(",") if x]
+        added = [tuple(map(int, x.split(":")[1:])) for x in got[i].spans.split(",") if x.startswith("generic")]
+        covered = np.zeros(len(t) + 1, bool)
+        for a, b in taken:
+            covered[a:b] = True
+        free = [m.span() for m in re.finditer(r"(?<![A-Za-z0-9+_-])(?=[A-Za-z+_-]*[0-9])(?=[0-9+_-]*[A-Za-z])[A-Za-z0-9+_-]{20,}", t)]
+        assert added == [(a, b) for a, b in free if not covered[a:b].any()]
+
+
 def test_op4_masks_live_values_only(rows, awkward):
     live, copied = "token=abcdefghijkl1", "token=zyxwvutsrqponm"
     docs = rows("doc_id long, text string, source string, n_chars long, row_key string", (1, f"é {live} tail", "a", 26, "k"), *[(k, copied, s, 20, "k") for k, s in enumerate("abcd", 2)])
@@ -145,6 +164,46 @@ def test_op7_rows(rows, awkward, empty, corpus):
     assert hmm_lm.score_documents(empty).count() == 0
 
 
+def test_op7_score_is_the_sum_over_all_paths(spark, rows):
+    """Class by path, times the word's share of its class; and a class's words, with the unseen, share out 1."""
+    data = [(i, " ".join(random.Random(i).choices(["a", "b", "to", "be", "or", "not", "Xy"], k=n))) for i, n in enumerate([0, 1, 2, 3, 4, 5, 5, 4, 6, 2, 3, 30, 40])] + [(99, "unseen b")]
+    docs = rows("doc_id long, text string", *data)
+    states, top_words = 2, 3
+    got = {r.doc_id: r.score for r in hmm_lm.score_documents(docs, states, top_words).collect()}
+    segments = hmm_lm.common.settle(hmm_lm._segments(docs), "test-segments")
+    counted = hmm_lm.common.settle(hmm_lm._corpus_counts(segments, 3, top_words), "test-counts")
+    tokens, _, empty = hmm_lm._totals(counted, top_words)
+    model = hmm_lm._fit(segments, empty, tokens, states, hmm_lm.PASSES)
+    count = collections.Counter(w for i, t in data if not hmm_lm.held_out(i) for w in [*t.lower().split(), None])
+
+    def parts(text):
+        column = hmm_lm.pa.array([text])
+        w = hmm_lm.common.Words(column, lower=True)
+        vocabulary, endings = np.append(w.hashes(), hmm_lm._END_HASH), np.append(hmm_lm._endings(w), 0)
+        return model.classes(vocabulary, endings)
+
+    shared = collections.defaultdict(set)
+    for w in count:
+        c = int(parts(w or "")[0])
+        shared[c].add(w)
+
+    def within(word, c):
+        if c > hmm_lm.ENDINGS:
+            return 1.0
+        mass, kinds = sum(count[x] for x in shared[c]), len(shared[c])
+        return (count[word] + 0.5) / (mass + 0.5 * (kinds + 1))
+
+    assert all(math.isclose(sum(within(w, c) for w in own) + within("never seen", c), 1) for c, own in shared.items() if c <= hmm_lm.ENDINGS)
+    assert math.isclose(model.start.sum(), 1) and np.allclose(model.move.sum(1), 1) and np.allclose(model.emit.sum(0), 1)
+    for i, t in data:
+        words = [*t.lower().split(), None]
+        if len(words) > 8:
+            continue
+        seen = parts(t).tolist()
+        total = sum(model.start[s[0]] * math.prod(model.move[a, b] for a, b in itertools.pairwise(s)) * math.prod(model.emit[o, k] for o, k in zip(seen, s, strict=True)) for s in itertools.product(range(states), repeat=len(words)))
+        assert math.isclose(got[i], math.log10(total) + sum(math.log10(within(w, c)) for w, c in zip(words, seen, strict=True)), rel_tol=1e-6), (i, t)
+
+
 def test_op7_beats_the_base_on_held_out_texts(spark):
     got = hmm_lm.score_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
@@ -174,7 +233,8 @@ def test_op8_raw_elements_end_at_their_own_end_tag(rows):
         assert [b.text for b in html_crf.blocks(page)] == ["One two three words of the main text.", "Four five six words of the same text."], loop
     got = html_crf.extract_pages(rows("page_id long, url string, html string", (1, "u", f"{loops[0]}<article>{body.format(loops[0])}</article>"))).collect()
     assert got[0].text == "One two three words of the main text.\n\nFour five six words of the same text."
-    assert [b.text for b in html_crf.blocks("<p>kept</p><script>if(a<b){}</scripts><p>never ends</p>")] == ["kept"]
+    assert [b.text for b in html_crf.blocks("<p>kept</p><SCRIPT>if(a<b){}</scripts><p>after a script that never ends</p>")] == ["kept", "after a script that never ends"]
+    assert [b.text for b in html_crf.blocks("<p>It<wbr>em</p><!--><p title=Bob's>it's</p><p>on</p>")] == ["Item", "it's", "on"]
 
 
 def test_op8_viterbi_is_the_best_path():
