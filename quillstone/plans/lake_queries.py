@@ -18,6 +18,7 @@ from quillstone.operators.predicates import increases, spread_of
 from quillstone.operators.validate import finding_rows, validate_table
 from quillstone.sources import files, loader, raw
 from quillstone.sources.csv_source import METADATA, select_rows
+from quillstone.streaming.ingest import merge_stream
 
 from . import mart, runlog
 from .queries import NAIVE_SQL, PANEL_SQL, SERIES_SQL, _d, _t, naive, panel, query, series
@@ -506,3 +507,27 @@ def exported_tables(spark, sf):
 def ordered_read(spark, sf):
     """A series in the order of its keys."""
     return series(spark, sf).select("account_code", "accounting_period", _d("balance")).orderBy("account_code", "accounting_period")
+
+
+@query(f"WITH {SECOND_SQL} SELECT entry_id, accounting_date, description, CASE WHEN old THEN 'r1' ELSE 'stream-0' END AS _first_run_id, CASE WHEN new THEN 'stream-0' ELSE 'r1' END AS _last_run_id FROM paired")
+def streamed_merge(spark, sf):
+    """A batch merged as one load, the next as a stream of what lies in a folder."""
+    root, folder = scratch(spark, "raw"), scratch(spark, "arrivals")
+    first, second = batches(spark, sf)
+    loader.merge_batch(first, root, ENTRY, "r1")
+    second.withColumn("__row", F.lit(0).cast("long")).write.parquet(folder)
+    rows = spark.readStream.schema(", ".join(f"{c} string" for c in ENTRY.columns) + ", __row long").parquet(folder)
+    merge_stream(rows, root, ENTRY, scratch(spark, "offsets")).awaitTermination()
+    return raw.read(spark, root, ENTRY).select("entry_id", "accounting_date", "description", *METADATA)
+
+
+@query("SELECT unnest(['mart__ba', 'mart__bb']) AS swept, 'mart__bd' AS published")
+def swept_builds(spark, sf):
+    """Old builds that are deleted: all but the published one and the newest other."""
+    warehouse = scratch(spark, "warehouse")
+    for name in "abcd":
+        _t(spark, sf, "region").write.parquet(f"{warehouse}/{mart.PREFIX}{name}/agg_monthly_balance")
+    mart.promote(spark, warehouse, f"{mart.PREFIX}d")
+    gone = mart.sweep(spark, warehouse)
+    assert not any(files.exists(spark, f"{warehouse}/{name}") for name in gone)
+    return spark.createDataFrame([(name, mart.current(spark, warehouse)) for name in gone], "swept string, published string")

@@ -64,8 +64,9 @@ def impact(table: str) -> list[str]:
     return sorted(reached)
 
 
-def unresolved_feeds() -> list[str]:
-    used = {n for m in MODELS.values() for n in m.needs}
+def unresolved_feeds(used: set[str] | None = None) -> list[str]:
+    """Declared feeds that no model needs."""
+    used = used if used is not None else {n for m in MODELS.values() for n in m.needs}
     return sorted({f for c in all_contracts().values() for f in c.feeds} - used)
 
 
