@@ -139,6 +139,7 @@ def export_landing(spark: SparkSession, root: str, out: str, run_id: str) -> dic
 
 # ---- building ----
 
+# The columns of the models that must be present, and those that together name a row.
 NOT_NULL = {
     "dim_account": ["surrogate_key", "account_code", "valid_from", "valid_to", "is_current"], "dim_cost_center": ["surrogate_key", "cc_code", "valid_from", "valid_to", "is_current"],
     "dim_fx_rate": ["surrogate_key", "currency", "rate_to_base", "valid_from", "valid_to", "is_current"], "dim_vendor": ["vendor_code"],

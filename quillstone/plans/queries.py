@@ -499,8 +499,8 @@ def gate_attributed(spark, sf):
 
 @query("""SELECT event_id, 'value' AS v, rule FROM (SELECT event_id, unnest([CASE WHEN event_type NOT IN ('view', 'click') THEN 'allowed' END, CASE WHEN value < 20 THEN 'min' END, CASE WHEN event_id % 50 = 0 THEN 'date' END]) AS rule FROM events) WHERE rule IS NOT NULL""")
 def contract_values(spark, sf):
-    events = _t(spark, sf, "events", "event_id", "event_type", "value").withColumn("day", F.when(F.col("event_id") % 50 == 0, "2026-02-30").otherwise("2026-02-28"))
-    rules = {"allowed": ~F.col("event_type").isin("view", "click"), "min": F.col("value") < 20, "date": value_findings("day", "date")}
+    events = _t(spark, sf, "events", "event_id", "event_type", F.col("value").cast("string").alias("value")).withColumn("day", F.when(F.col("event_id") % 50 == 0, "2026-02-30").otherwise("2026-02-28"))
+    rules = {"allowed": value_findings("event_type", "string", allowed=["view", "click"]), "min": value_findings("value", "decimal", least="20"), "date": value_findings("day", "date")}
     return events.select("event_id", F.lit("value").alias("v"), F.explode(F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]))).alias("rule"))
 
 
