@@ -24,16 +24,33 @@ LEAST_VALUE = 12
 
 #: A value found in more repositories than this is a copied example.
 MAX_OWNERS = 2
-SALTS = 16
+#: Candidates of one value that a task takes, and matches of a text that one fold gathers.
+PART, BLOCK = 100_000, 128
 _SPANS = "array<struct<start:long,kind:int,stop:long,value:string>>"
 
 
+def _blocks(items: Column) -> Column:
+    """An array cut into arrays of BLOCK elements: a fold that copies what it has gathered stays short within each."""
+
+    def cut(held: Column) -> Column:
+        n = F.size(held["items"])
+        numbers = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int"))).otherwise(F.expr("cast(array() as array<int>)"))
+        return F.transform(numbers, lambda k: F.slice(held["items"], k * BLOCK + 1, F.lit(BLOCK)))
+
+    # An array of one binds the items, which a lambda would otherwise compute anew for every block.
+    return F.transform(F.array(F.struct(items.alias("items"))), cut)[0]
+
+
 def _found(text: Column, kind: int, pattern: str, worth: Column, least: int = 0) -> Column:
-    """Spans of a pattern: the pieces between matches and the matches themselves add up to positions."""
+    """Spans of a pattern: the pieces between matches and the matches themselves add up to positions.
+
+    They add up within blocks of matches, then over the blocks, so the work grows with the matches
+    and not with their square.
+    """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g).cast("long"))
-    pairs = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda hit, gap: F.struct(hit.alias("hit"), gap.alias("gap")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr(f"cast(array() as {_SPANS})").alias("out"))
+    pairs = F.filter(F.zip_with(hits, gaps, lambda hit, gap: F.struct(hit.alias("hit"), gap.alias("gap"))), lambda p: p["hit"].isNotNull())
+    nothing = F.expr(f"cast(array() as {_SPANS})")
 
     def step(held: Column, pair: Column) -> Column:
         begin = held["at"] + pair["gap"]
@@ -42,10 +59,29 @@ def _found(text: Column, kind: int, pattern: str, worth: Column, least: int = 0)
         span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), value.alias("value"))
         return F.struct(stop.alias("at"), F.concat(held["out"], F.array(span)).alias("out"))
 
-    spans = F.aggregate(pairs, start, step)["out"]
+    each = F.transform(_blocks(pairs), lambda block: F.aggregate(block, F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("out")), step))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.expr(f"cast(array() as array<struct<base:long,out:{_SPANS}>>)").alias("parts"))
+    placed = F.aggregate(each, start, lambda held, b: F.struct((held["at"] + b["at"]).alias("at"), F.concat(held["parts"], F.array(F.struct(held["at"].alias("base"), b["out"].alias("out")))).alias("parts")))["parts"]
+    moved = lambda p: F.transform(p["out"], lambda s: F.struct((s["start"] + p["base"]).alias("start"), s["kind"].alias("kind"), (s["stop"] + p["base"]).alias("stop"), s["value"].alias("value")))
+    spans = F.flatten(F.transform(placed, moved))
     if least:
         spans = F.filter(spans, lambda s: F.length(s["value"]) >= least)
-    return F.when(worth, spans).otherwise(F.expr(f"cast(array() as {_SPANS})"))
+    return F.when(worth, spans).otherwise(nothing)
+
+
+def _free(generic: Column, base: Column) -> Column:
+    """The generic spans that touch no base span.
+
+    Blocks of blocks of them narrow the base spans down to those in their reach, then blocks do, so a
+    span is held against few.
+    """
+    touches = lambda a, b: (b["start"] < a["stop"]) & (a["start"] < b["stop"])
+    reach = lambda first, last: F.struct(first["start"].alias("start"), last["stop"].alias("stop"))
+    near = lambda items, whole, spans: F.struct(items.alias("items"), F.filter(spans, lambda b: touches(whole, b)).alias("near"))
+    first, last = lambda block: F.element_at(block, 1), lambda block: F.element_at(block, -1)
+    coarse = F.transform(_blocks(_blocks(generic)), lambda blocks: near(blocks, reach(first(first(blocks)), last(last(blocks))), base))
+    fine = F.flatten(F.transform(coarse, lambda x: F.transform(x["items"], lambda block: near(block, reach(first(block), last(block)), x["near"]))))
+    return F.flatten(F.transform(fine, lambda x: F.filter(x["items"], lambda g: ~F.exists(x["near"], lambda b: touches(g, b)))))
 
 
 def _joined(spans: Column) -> Column:
@@ -67,8 +103,7 @@ def _scanned(docs: DataFrame) -> DataFrame:
         _found(text, 2, HEX, text.rlike(HEX)),
     )
     spans = docs.withColumns({"base": base, "generic": _found(text, 3, GENERIC, text.rlike(GENERIC))})
-    free = F.filter("generic", lambda g: ~F.exists("base", lambda b: (b["start"] < g["stop"]) & (g["start"] < b["stop"])))
-    spans = spans.withColumn("generic", free)
+    spans = spans.withColumn("generic", _free(F.col("generic"), F.col("base")))
     key = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text), 256)
     return spans.withColumn("row_key", F.when(F.size("base") + F.size("generic") > 0, key))
 
@@ -77,14 +112,15 @@ def _classified(scanned: DataFrame) -> DataFrame:
     """For each row_key: spans to add, live values, and numbers of live and copied candidates.
 
     Owners are counted from distinct (value, repository) pairs, which map tasks pre-aggregate; the
-    counts go back to the candidates in SALTS parts, so that a value that many documents hold does
-    not meet in one task.
+    counts go back to the candidates in as many parts as a value's counted candidates need, so that
+    one that many documents hold does not meet in one task.
     """
     each = scanned.where(F.col("row_key").isNotNull()).select("row_key", "owner", F.explode(F.concat("base", "generic")).alias("span"))
     each = each.select("row_key", "owner", "span", F.sha2("span.value", 256).alias("value_hash")).dropDuplicates(["row_key", "span"])
-    owners = each.groupBy("value_hash", "owner").agg(F.lit(1).alias("one")).groupBy("value_hash").agg(F.count("one").alias("n_owners"))
-    spread = owners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = each.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)).cast("int"))
+    owners = each.groupBy("value_hash", "owner").agg(F.count("*").alias("n")).groupBy("value_hash").agg(F.count("*").alias("n_owners"), F.ceil(F.sum("n") / PART).cast("int").alias("parts"))
+    hot = owners.where("parts > 1").select("value_hash", "parts")
+    spread = owners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    salted = each.join(hot, "value_hash", "left").withColumn("salt", F.pmod(F.xxhash64("row_key"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
     joined = salted.join(spread, ["value_hash", "salt"]).withColumn("live", F.col("n_owners") <= MAX_OWNERS)
     span, live = F.col("span"), F.col("live")
     return joined.groupBy("row_key").agg(
@@ -98,10 +134,12 @@ def _classified(scanned: DataFrame) -> DataFrame:
 def scan_secrets(docs: DataFrame, owner: str = "source") -> DataFrame:
     """Spans of each row: base ones, and those the ownership counts add.
 
-    One output row per input row, repeated rows included. Null text counts as empty (no spans); a
-    null owner counts as one owner of its own; a null doc_id stays null. Only doc_id, text and the
-    owner column are read, so other columns can't clash. Positions are code points. More columns:
-    n_added, n_live and n_copied candidates.
+    One output row per input row, repeated rows included (a repeated row counts once as a candidate).
+    Null and empty texts have no spans; a very long text is scanned whole, and its work grows with its
+    length and matches. Spans that begin at one place come in the order of the kinds. A null owner
+    counts as one owner of its own; a null doc_id stays null; an empty table gives an empty one. Only
+    doc_id, text and the owner column are read, so other columns can't clash. Positions are code
+    points. More columns: n_added, n_live and n_copied candidates.
     """
     common.prepare(docs.sparkSession)
     scanned = _scanned(docs.select("doc_id", "text", F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner")))
