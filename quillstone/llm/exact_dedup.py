@@ -8,6 +8,7 @@ hash is inserted, full byte strings, into a compressed trie whose terminals hold
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -123,18 +124,10 @@ def _fold(batches: Iterator[pa.RecordBatch], held_bytes: int) -> Iterator[list[t
         yield group
 
 
-def _runs(batches: Iterator[pa.RecordBatch], size: int, sha: int) -> Iterator[list[tuple]]:
-    """Rows of a partition sorted by (size, sha), one run of equal keys at a time."""
-    held, key = [], None
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if held and (row[size], row[sha]) != key:
-                yield held
-                held = []
-            key = row[size], row[sha]
-            held.append(row)
-    if held:
-        yield held
+def _runs(batches: Iterator[pa.RecordBatch], size: int, sha: int) -> Iterator[Iterator[tuple]]:
+    """Rows of a partition sorted by (size, sha): an iterator for each run of equal keys, so no run is held whole."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    return (run for _, run in itertools.groupby(rows, key=lambda row: (row[size], row[sha])))
 
 
 def exact_duplicates(docs: DataFrame, held_bytes: int = HELD_BYTES) -> DataFrame:
@@ -142,11 +135,14 @@ def exact_duplicates(docs: DataFrame, held_bytes: int = HELD_BYTES) -> DataFrame
 
     Texts are equal when identical without white space (space, 0x09-0x0D); null counts as empty, so
     null, empty and blank texts are one group. The row with the most code points stays, then the
-    smallest doc_id (null last); of rows that repeat a doc_id and text exactly one stays. One output
-    row per input row. Only doc_id and text are read, so other columns can't clash.
-
-    One shuffle carries each distinct text once per scan task; owners come back by a join on the
-    local group, which has no more rows than a scan task, so a hot text is spread over the tasks.
+    smallest doc_id (null last); of rows that tie in both (repeated rows, or one id with texts of one
+    length) exactly one stays. One output row per input row; an empty table gives an empty one. A very
+    long text is held whole by one worker at a time. Only doc_id and text are read, so other columns
+    can't clash.
+
+    One shuffle carries each distinct text once per scan task. The copies of a hot text stream through
+    the task that owns it, which holds one of them and a number for each; owners come back by a join on
+    the local group, which has no more rows than a scan task, so its rows are spread over the tasks.
     """
     common.prepare(docs.sparkSession)
 
