@@ -23,8 +23,10 @@ def amount_outliers(lines: DataFrame, group: str, amount: str, times: float = 20
 
 def long_tail_shape(lines: DataFrame, period: str, amount: str, top: int = 20) -> DataFrame:
     """(period, raised, top_share): total against the mean of the other periods, and the largest lines' share."""
-    ranked = lines.withColumn("place", F.row_number().over(Window.partitionBy(period).orderBy(F.desc(amount))))
-    sums = ranked.groupBy(period).agg(F.sum(amount).cast("double").alias("total"), F.sum(F.when(F.col("place") <= top, F.col(amount))).cast("double").alias("top"))
+    place = F.row_number().over(Window.partitionBy(period).orderBy(F.desc(amount)))
+    # Nothing but the rank and its bound, so each map task sends its own largest lines only.
+    tops = lines.select(period, amount).withColumn("place", place).where(F.col("place") <= top).groupBy(period).agg(F.sum(amount).cast("double").alias("top"))
+    sums = lines.groupBy(period).agg(F.sum(amount).cast("double").alias("total")).join(tops, period)
     whole = sums.agg(F.sum("total").alias("all_total"), F.count("*").alias("n"))
     others = (F.col("all_total") - F.col("total")) / F.nullif(F.col("n") - 1, F.lit(0))
     return sums.crossJoin(F.broadcast(whole)).select(period, (F.col("total") / F.nullif(others, F.lit(0.0))).alias("raised"), (F.col("top") / F.nullif(F.col("total"), F.lit(0.0))).alias("top_share"))
