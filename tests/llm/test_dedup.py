@@ -1,11 +1,9 @@
 """Exact, near and passage deduplication against brute force."""
 
-import collections
 import hashlib
 import itertools
+import random
 
-import numpy as np
-import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -111,6 +109,32 @@ def test_op10_finds_links_that_avoid_the_pivot(rows):
     check_near(rows("doc_id long, text string", *chain), chain, 2)
 
 
+def test_op10_rows_grow_with_the_group_and_not_with_its_pairs(rows, monkeypatch):
+    """Copies of one text with some words changed: what is compared with pivots and what stays open doubles with the group at most."""
+    rnd = random.Random(12)
+    base = [f"b{i}" for i in range(150)]
+    copies = []
+    for i in range(320):
+        words = list(base)
+        for k in rnd.sample(range(150), rnd.randrange(2, 16)):
+            words[k] = f"x{i}_{k}"
+        copies.append((i, " ".join(words)))
+    settle, seen = near_dedup.common.settle, {}
+
+    def counted(df, name):
+        out = settle(df, name)
+        seen[name] = seen.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup.common, "settle", counted)
+    sizes = []
+    for n in (160, 320):
+        seen.clear()
+        check_near(rows("doc_id long, text string", *copies[:n]), copies[:n], 2)
+        sizes.append({k: v for k, v in seen.items() if k in ("near-bands", "near-stars", "near-open")})
+    assert all(sizes[1][k] <= 2.5 * max(sizes[0][k], 160) for k in sizes[1]), sizes
+
+
 def test_op10_deals_a_large_open_bucket_into_blocks(rows, monkeypatch):
     """Chains whose ends meet no pivot, in as many blocks as members: no link may be lost between blocks."""
     monkeypatch.setattr(near_dedup, "BLOCK", 400)
