@@ -6,6 +6,7 @@ What an operator needs as files goes to a folder of its own in the session's sha
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -141,13 +142,18 @@ def batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return lines.where("o_orderkey % 10 < 8").select(*ENTRY.columns), second.select(*ENTRY.columns)
 
 
-def merged(spark: SparkSession, sf: str) -> tuple[str, list[loader.LoadReport]]:
-    """A raw layer after two batches, and the second once more."""
+@functools.lru_cache(maxsize=4)
+def _merged(spark: SparkSession, sf: str, application: str) -> tuple[str, list[loader.LoadReport]]:
     root = scratch(spark, "raw")
     first, second = batches(spark, sf)
     return root, [loader.merge_batch(rows, root, ENTRY, run) for rows, run in ((first, "r1"), (second, "r2"), (second, "r3"))]
 
 
+def merged(spark: SparkSession, sf: str) -> tuple[str, list[loader.LoadReport]]:
+    """A raw layer after two batches, and the second once more; made once for the queries of a session that look at it."""
+    return _merged(spark, sf, spark.sparkContext.applicationId)
+
+
 @query(f"WITH {SECOND_SQL} SELECT entry_id, '1' AS version, accounting_date, substr(accounting_date, 1, 7) AS accounting_period, description, CASE WHEN old THEN 'r1' ELSE 'r2' END AS _first_run_id, CASE WHEN new THEN 'r3' ELSE 'r1' END AS _last_run_id FROM paired")
 def raw_after_merges(spark, sf):
     """The layer's rows with their provenance after an insert, an update with moves, and the same batch again."""
