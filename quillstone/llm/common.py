@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import gc
 import os
 import tempfile
@@ -20,7 +22,11 @@ SLICE_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Ship this package to the Python workers and keep Arrow batches small."""
+    """Ship this package to the Python workers and keep Arrow batches small.
+
+    Spark takes the size of Arrow batches from the session when a plan runs, so the session's setting
+    is changed; a batch of long texts at Spark's own 10,000 rows would not fit a worker.
+    """
     context = spark.sparkContext
     if getattr(context, "_quillstone_shipped", None) is None:
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -55,17 +61,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """A folder of this application's own below the shared one; it is removed when the driver's Python ends."""
+    context = spark.sparkContext
+    path = f"{shared_folder(spark)}/quillstone-{context.applicationId}"
+    if getattr(context, "_quillstone_folder", None) != path:
+        hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
+        files = hadoop.getFileSystem(context._jsc.hadoopConfiguration())
+
+        def remove() -> None:
+            with contextlib.suppress(Exception):  # the JVM may be gone; what stays is only disk
+                files.delete(hadoop, True)
+
+        atexit.register(remove)
+        context._quillstone_folder = path
+    return path
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there and survives lost executors."""
+    """Write df to the run's shared folder and read it back: lineage ends there and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner see that earlier steps are no longer referenced, so that their shuffle files go."""
+    """Let Spark's cleaner see that earlier steps are no longer referenced, so that their shuffle files go.
+
+    Spark removes a shuffle's files once the JVM has collected its last reference; without this they
+    would stay until the end of a job of many steps.
+    """
     for _ in range(2):  # the first pass frees what holds the references, the second the plans
         gc.collect()
         spark.sparkContext._jvm.System.gc()

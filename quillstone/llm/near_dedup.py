@@ -273,9 +273,11 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
     Words are runs without white space, A-Z in lower case; a set is the distinct `size`-word shingles,
     or a shorter text's whole sequence. Two rows are linked when 100 * intersection >= percent * union.
-    Null and empty texts have the empty set and no links. One output row per input row; rows that
-    share a doc_id count as one document and so share its component. A row without doc_id is linked
-    with nothing, has no component and is kept. Only doc_id and text are read.
+    Null and empty texts have the empty set and no links; a very long text's set is held whole, two
+    such at a time. One output row per input row, repeated rows included; rows that share a doc_id
+    count as one document and so share its component. A similarity of just percent is a link. A row
+    without doc_id is linked with nothing, has no component and is kept. An empty table gives an empty
+    one. Only doc_id and text are read, so other columns can't clash.
     """
     spark = common.prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")

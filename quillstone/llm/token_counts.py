@@ -18,8 +18,9 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 2048) -> DataFra
     """UTF-8 bytes, tokens, and whether the tokens exceed `limit`, for each row.
 
     One row per input row, repeated rows included; a null text counts as empty (0 bytes, 0 tokens)
-    and a null doc_id stays null. Only doc_id and text are read. No shuffle; a worker holds a few
-    MB of text (or one longer text) and a bounded table of pieces.
+    and a null doc_id stays null; an empty table gives an empty one. Only doc_id and text are read, so
+    other columns can't clash. No shuffle; a worker holds a few MB of text (or one longer text, whose
+    chunks' state maps are composed) and a bounded table of pieces.
     """
     spark = common.prepare(docs.sparkSession)
     held = spark.sparkContext.broadcast(common.file_bytes(model_path))

@@ -10,6 +10,7 @@ bounded table, as merges inside a piece look back arbitrarily far and have no sm
 
 from __future__ import annotations
 
+import os
 import unicodedata
 from functools import lru_cache
 
@@ -110,6 +111,7 @@ class PieceTokenizer:
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special_ids = specials
+        self.special_prefix = os.path.commonprefix(list(specials))  # a text without it holds no special string
         self.special = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
         self._forget()
 
@@ -136,7 +138,7 @@ class PieceTokenizer:
         marks: list[tuple[int, str]] = []
         size, stops = 0, []
         for text in texts:
-            if self.special and "<|" in text and self.special.search(text):
+            if self.special and self.special_prefix in text and self.special.search(text):
                 at = 0
                 for m in self.special.finditer(text):
                     part = self.normalise(text[at : m.start()])
