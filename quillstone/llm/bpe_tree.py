@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-LEAF_CHARS = 32_768
-LEAF_TOKENS = 65_536
+#: A part of a text no longer than this is a leaf: some hundred tokens.
+LEAF_CHARS = 1024
+LEAF_TOKENS = 1024
 _EDGE = regex.compile(r"(?<=\p{L})(?=[^\p{L}])|(?<=\p{N})(?=[^\p{N}])|(?<=[^\s\p{L}\p{N}])(?=[\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=\p{L})")
 _ONE_KIND = regex.compile(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}']+")
 
@@ -39,6 +40,7 @@ class TreeCodec:
         pairs = (line.split() for line in ranks.splitlines() if line)
         table = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+        self.one_match = tiktoken.Encoding("one match", pat_str=r"[\s\S]+", mergeable_ranks=table, special_tokens={})
         self.token = [b""] * (max(table.values()) + 1)
         for token, rank in table.items():
             self.token[rank] = token
@@ -91,7 +93,10 @@ class TreeCodec:
             a, b = mid - len(head), mid + len(tail)
             if a < lo or b > hi or not _ONE_KIND.fullmatch(text, a, b):
                 return None
-            ids = self.encoding._core_bpe.encode_single_piece(head + tail)
+            try:
+                ids = self.one_match.encode_ordinary((head + tail).decode())
+            except UnicodeDecodeError:  # the window's tokens begin or end inside a character
+                ids = []
             if len(ids) > 1 and ids[0] == left[-k] and ids[-1] == right[k - 1]:
                 return left[:-k] + ids + right[k:]
             k *= 2
@@ -116,8 +121,9 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, with_ids: b
     """Encode each row's text, decode the ids again, and report digests (and the ids, if asked for).
 
     One row per input row, repeated rows included. A null or empty text has no tokens and the
-    digests of the empty string; a null doc_id stays null. Only doc_id and text are read, so other
-    columns can't clash. No shuffle; a worker holds one text, its ids and the vocabulary.
+    digests of the empty string; a very long text is reduced as a tree of leaves; a null doc_id stays
+    null; an empty table gives an empty one. Only doc_id and text are read, so other columns can't
+    clash. No shuffle; a worker holds one text, its ids and the vocabulary.
     """
     spark = common.prepare(docs.sparkSession)
     held = spark.sparkContext.broadcast(common.file_bytes(ranks_path))
