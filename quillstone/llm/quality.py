@@ -163,15 +163,18 @@ def fit_trees(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 4, ra
 def train(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Trees | None:
     """Trees from at most `max_labels` labelled documents; None if the labels hold fewer than two classes.
 
-    Labels with a null id or quality are left out; of conflicting labels the lowest counts. The cut
-    is the largest score up to 0.5 that keeps 999 in 1000 of the good training documents.
+    Labels with a null id or quality are left out; of conflicting labels the lowest counts; documents
+    that the base rules reject are left out, as no tree will judge such. The cut is the largest score
+    up to 0.5 that keeps 999 in 1000 of the good training documents.
     """
     sample = labels.select("doc_id", F.col("quality").cast("int").alias("good")).dropna().groupBy("doc_id").agg(F.min("good").alias("good")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("good", pa.int32()), ("x", pa.list_(pa.float64()))])
         for batch in common.slices(batches, "text"):
-            yield common.batch_of(schema, batch.column(0), list(statistics(batch.column(1))[1]))
+            base, x = statistics(batch.column(1))
+            judged = np.flatnonzero(~_base_fails(base))
+            yield common.batch_of(schema, batch.column(0).take(pa.array(judged)), list(x[judged]))
 
     # The sample has at most max_labels rows of 12 bytes, so it may be broadcast at any input size.
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("good", "text").mapInArrow(run, "good int, x array<double>").toArrow()
@@ -187,9 +190,13 @@ def train(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> T
     return trees
 
 
+def _base_fails(base: np.ndarray) -> np.ndarray:
+    return (base[:, 0] < 50) | (100 * base[:, 4] > 50 * base[:, 0])
+
+
 def _verdict(column: pa.Array, trees: Trees | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     base, x = statistics(column)
-    failed = (base[:, 0] < 50) | (100 * base[:, 4] > 50 * base[:, 0])
+    failed = _base_fails(base)
     score = trees.score(x) if trees else np.ones(len(x))
     return base, failed, score, ~failed & (score >= (trees.cut if trees else 0))
 
@@ -197,10 +204,11 @@ def _verdict(column: pa.Array, trees: Trees | None) -> tuple[np.ndarray, np.ndar
 def judge_quality(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
     """Base statistics and verdict of each row.
 
-    One row per input row, repeated rows included. A null or empty text has no words and fails; a
-    null doc_id stays null. Without labels of two classes the base rules alone decide. Only doc_id
-    and text are read, so other columns can't clash. One scan trains, one scores; nothing but the
-    labels is shuffled.
+    One row per input row, repeated rows included. A null or empty text has no words and fails; a very
+    long text is counted whole by one worker; a null doc_id stays null; a score equal to the cut keeps.
+    An empty table gives an empty one, and without labels of two classes (none at all included) the
+    base rules alone decide. Only doc_id and text are read, so other columns can't clash. One scan
+    trains, one scores; nothing but the labels is shuffled.
     """
     spark = common.prepare(docs.sparkSession)
     trees = spark.sparkContext.broadcast(train(docs, labels, max_labels))
@@ -216,7 +224,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABE
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
-    """The rows of docs that `judge_quality` keeps, with all their columns."""
+    """The rows of docs that `judge_quality` keeps, with all their columns, of any name; what is said there of nulls, long texts, ties, repeated rows and empty tables holds here."""
     spark = common.prepare(docs.sparkSession)
     trees = spark.sparkContext.broadcast(train(docs, labels, max_labels))
 
