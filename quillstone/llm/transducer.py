@@ -16,7 +16,6 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
