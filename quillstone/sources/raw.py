@@ -46,11 +46,6 @@ def _base(root: str, contract: Contract) -> str:
     return f"{root}/{contract.table}"
 
 
-def folder(spark: SparkSession, root: str, contract: Contract, period: str | None = None) -> str:
-    """Where a partition's rows are now; KeyError without one."""
-    return f"{_base(root, contract)}/{parts.held(spark, _base(root, contract))[period if contract.partition_by else WHOLE]}"
-
-
 def periods(spark: SparkSession, root: str, contract: Contract) -> list[str]:
     return sorted(parts.held(spark, _base(root, contract))) if contract.partition_by else []
 
