@@ -15,7 +15,9 @@ from .transducer import tokenizer_of
 
 SEQUENCE = 2048
 OPEN_BINS = 1024
-WINDOW = 32_768
+#: Pieces that wait to be placed longest first. Each longer than half a sequence opens a bin, and no more bins than
+#: OPEN_BINS can wait for the short pieces that come last: a larger window closes bins before these arrive.
+WINDOW = 2 * OPEN_BINS
 
 
 class BestFit:
@@ -70,7 +72,9 @@ def pack(docs: DataFrame, model_path: str, capacity: int = SEQUENCE, bins: int =
     Only longer documents are cut, into pieces of `capacity`; the last may be shorter. One row per
     piece: its place in its document (piece, start), its length, the CRC-32 of its ids as
     little-endian unsigned 32-bit numbers, and its place (sequence_id, offset). A null or empty text
-    is one piece of the end id; repeated rows are packed again; a null doc_id stays null; only
+    is one piece of the end id; a very long one is cut into full pieces and a last one; repeated rows
+    are packed again; of bins with equal room the one opened to that room last is taken, and pieces of
+    equal length keep their order; a null doc_id stays null; an empty table gives an empty one; only
     doc_id and text are read, so other columns can't clash.
 
     Each input partition packs on its own, so nothing is shuffled: sequence_id holds the partition
