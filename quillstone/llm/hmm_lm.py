@@ -11,7 +11,7 @@ from __future__ import annotations
 
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,9 +26,11 @@ STATES = 8
 TOP_WORDS = 1000
 ENDINGS = 511
 SEGMENT_TOKENS = 1_000_000
-#: Training tokens that the first states come from, spread over all segments.
-SAMPLE_TOKENS = 400_000
+#: Passes over all training documents: of the mixture that the states begin from, and of Baum-Welch.
+MIXTURES = 8
 PASSES = 2
+#: Documents whose class counts stand side by side in the mixture.
+BLOCK = 256
 _END_HASH = np.uint64(0x5EED_0E4D)
 
 
@@ -139,27 +141,32 @@ def _estimated(start: np.ndarray, moves: np.ndarray, emissions: np.ndarray, old:
     return Model((start + 0.1) / (start + 0.1).sum(), (moves + 0.1) / (moves + 0.1).sum(1, keepdims=True), emit / emit.sum(0), old.top, old.mass, old.kinds)
 
 
-def _initial(observed: np.ndarray, sizes: np.ndarray, model: Model, states: int) -> Model:
-    """States to begin with: a mixture of documents' class counts, then Baum-Welch on the bounded sample."""
-    n, c = len(sizes), ENDINGS + 1 + len(model.top)
-    doc = np.repeat(np.arange(n), sizes)
-    random = np.random.default_rng(7)
-    share = random.dirichlet(np.full(states, 0.3), n) if n else np.zeros((0, states))
-    for _ in range(15):
-        emit = np.stack([np.bincount(observed, share[doc, j], c) for j in range(states)], 1) + 0.1
-        emit /= emit.sum(0)
-        weight = share.mean(0) + 1e-3 if n else np.full(states, 1 / states)
-        logs = np.log(emit)[observed]
-        total = np.stack([np.bincount(doc, logs[:, j], n) for j in range(states)], 1) * 0.2 + np.log(weight / weight.sum())
-        total -= total.max(1, keepdims=True) if n else 0
-        share = np.exp(total)
+def _mixture(model: Model, observed: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The E step of a mixture of documents: each state's share of the documents, then their class counts by share."""
+    c, k = model.emit.shape
+    logs, weight = np.log(model.emit), np.log(model.start)
+    shares, emissions = np.zeros(k), np.zeros((c, k))
+    stop = np.concatenate([[0], np.cumsum(sizes)])
+    for a in range(0, len(sizes), BLOCK):
+        own = sizes[a : a + BLOCK]
+        n = len(own)
+        cell = np.repeat(np.arange(n) * c, own) + observed[stop[a] : stop[a + n]]
+        counts = np.bincount(cell, minlength=n * c).reshape(n, c).astype(float)
+        total = counts @ logs * 0.2 + weight
+        share = np.exp(total - total.max(1, keepdims=True))
         share /= share.sum(1, keepdims=True)
-    move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
-    model = Model(weight / weight.sum(), move, emit, model.top, model.mass, model.kinds)
-    for _ in range(4 if n else 0):
-        parts = [s.counts(model) for _, s in _groups(observed, sizes)]
-        model = _estimated(*(sum(x) for x in zip(*parts, strict=True)), model)
-    return model
+        shares += share.sum(0)
+        emissions += counts.T @ share
+    return np.concatenate([shares, emissions.ravel()])
+
+
+def _expected(model: Model, observed: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The E step of Baum-Welch: starts, moves and emissions."""
+    c, k = model.emit.shape
+    total = np.zeros(k + k * k + c * k)
+    for _, sequences in _groups(observed, sizes):
+        total += np.concatenate([x.ravel() for x in sequences.counts(model)])
+    return total
 
 
 # ---- segments and corpus counts ----
@@ -267,7 +274,7 @@ def _corpus_counts(segments: DataFrame, buckets: int, top_words: int) -> DataFra
 
 
 def _totals(counted: DataFrame, top_words: int) -> tuple[int, int, Model]:
-    """(training tokens, distinct ones, a model without states), from the buckets' totals added up in groups."""
+    """(training tokens, distinct ones, a model of one state), from the buckets' totals added up in groups."""
     rows = counted.where("seg < 0").select("totals", "top")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,8 +298,8 @@ def _totals(counted: DataFrame, top_words: int) -> tuple[int, int, Model]:
     kind = top[2].astype(np.int64)
     mass = totals[0] - np.bincount(kind, top[1].astype(float), ENDINGS + 1)
     kinds = totals[1] - np.bincount(kind, minlength=ENDINGS + 1)
-    empty = np.zeros(0)
-    return int(totals[0].sum()), int(totals[1].sum()), Model(empty, empty, empty, top[0], mass, kinds)
+    emit = np.concatenate([mass, top[1].astype(float)])[:, None] + 0.1
+    return int(totals[0].sum()), int(totals[1].sum()), Model(np.ones(1), np.ones((1, 1)), emit / emit.sum(), top[0], mass, kinds)
 
 
 def _read(row: dict, model: Model, trains: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -306,61 +313,52 @@ def _read(row: dict, model: Model, trains: bool) -> tuple[np.ndarray, np.ndarray
     return seen, sizes, np.arange(len(sizes))
 
 
-def _sample(segments: DataFrame, model: Model, tokens: int) -> tuple[np.ndarray, np.ndarray]:
-    """Classes and sizes of about SAMPLE_TOKENS training tokens: whole documents of all segments, by the hash of their id.
-
-    A document longer than the sample is left to the passes over all documents.
-    """
-    share = min(1.0, SAMPLE_TOKENS / max(1, tokens))
-    held = segments.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("h", pa.float64()), ("seen", pa.binary())])
+def _summed(segments: DataFrame, step: Callable[[Model, np.ndarray, np.ndarray], np.ndarray], model: Model, length: int) -> np.ndarray:
+    """The `length` numbers that step makes of a segment's training documents, added up over all segments."""
+    held = segments.sparkSession.sparkContext.broadcast(model)  # (C + K + 1) x K numbers: bounded by the parameters
+    schema = pa.schema([("counts", pa.binary())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(length)
         for batch in batches:
             for row in batch.to_pylist():
-                seen, sizes, at = _read(row, held.value, True)
-                ids = np.array([row["ids"][i] or 0 for i in at], np.int64).view(np.uint64)
-                h = common.mix(ids + np.uint64(1)) / 2.0**64
-                stop = np.cumsum(sizes)
-                chosen = np.flatnonzero((h < share) & (sizes <= SAMPLE_TOKENS))
-                yield common.batch_of(schema, h[chosen], [seen[stop[i] - sizes[i] : stop[i]].astype("<u2").tobytes() for i in chosen])
+                seen, sizes, _ = _read(row, held.value, True)
+                total += step(held.value, seen, sizes)
+        yield common.batch_of(schema, [total.tobytes()])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(length)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                total += _numbers(x, "<f8")
+        yield common.batch_of(schema, [total.tobytes()])
 
-    found = sorted((r[0], r[1]) for r in segments.mapInArrow(run, "h double, seen binary").collect())  # two bytes a token of the sample
-    docs = [_numbers(b, "<u2").astype(np.int64) for _, b in found]
-    return np.concatenate(docs or [np.zeros(0, np.int64)]), np.array([len(d) for d in docs], np.int64)
+    parts = segments.mapInArrow(expect, "counts binary").repartition(16).mapInArrow(add, "counts binary").collect()
+    held.unpersist()
+    return sum(_numbers(r[0], "<f8") for r in parts)
 
 
 def _fit(segments: DataFrame, model: Model, tokens: int, states: int, passes: int) -> Model:
-    """States from a bounded sample, then `passes` Baum-Welch passes over all training documents."""
-    spark = segments.sparkSession
-    fields = ["ids", "sizes", "tokens", "vocabulary", "endings"]
-    seen, sizes = _sample(segments.select(*fields), model, tokens)
-    model = _initial(seen, sizes, model, states)
-    c, k = model.emit.shape
-    schema = pa.schema([("counts", pa.binary())])
+    """States from a model of one state; every pass is over all training documents.
+
+    The corpus counts of the classes, each state's moved by random factors, begin a mixture of
+    documents; MIXTURES passes over them part the states, and `passes` of Baum-Welch follow. The
+    factors don't shrink as the corpus grows, as random shares of its documents would in their mean.
+    """
+    c, k = len(model.emit), states
+    if not tokens:
+        return Model(np.full(k, 1 / k), np.full((k, k), 1 / k), np.full((c, k), 1 / c), model.top, model.mass, model.kinds)
+    segments = segments.select("ids", "sizes", "tokens", "vocabulary", "endings")
+    start, move = np.full(k, 1 / k), np.full((k, k), 0.1 / k) + 0.9 * np.eye(k)
+    emit = model.emit * np.exp(np.random.default_rng(7).uniform(-1, 1, (c, k)))
+    model = Model(start, move, emit / emit.sum(0), model.top, model.mass, model.kinds)
+    for _ in range(MIXTURES):
+        total = _summed(segments, _mixture, model, k + c * k)
+        start, emit = total[:k] / total[:k].sum() + 1e-3, total[k:].reshape(c, k) + 0.1
+        model = Model(start / start.sum(), move, emit / emit.sum(0), model.top, model.mass, model.kinds)
     for _ in range(passes):
-        held = spark.sparkContext.broadcast(model)  # (C + K + 1) x K numbers: bounded by the parameters
-
-        def expect(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(k + k * k + c * k)
-            for batch in batches:
-                for row in batch.to_pylist():
-                    seen, sizes, _ = _read(row, held.value, True)
-                    for _, sequences in _groups(seen, sizes):
-                        total += np.concatenate([x.ravel() for x in sequences.counts(held.value)])
-            yield common.batch_of(schema, [total.tobytes()])
-
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(k + k * k + c * k)
-            for batch in batches:
-                for x in batch.column(0).to_pylist():
-                    total += _numbers(x, "<f8")
-            yield common.batch_of(schema, [total.tobytes()])
-
-        parts = segments.select(*fields).mapInArrow(expect, "counts binary").repartition(16).mapInArrow(add, "counts binary").collect()
-        total = sum(_numbers(r[0], "<f8") for r in parts)
+        total = _summed(segments, _expected, model, k + k * k + c * k)
         model = _estimated(total[:k], total[k : k + k * k].reshape(k, k), total[k + k * k :].reshape(c, k), model)
-        held.unpersist()
     return model
 
 

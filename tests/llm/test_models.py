@@ -204,6 +204,46 @@ def test_op7_score_is_the_sum_over_all_paths(spark, rows):
         assert math.isclose(got[i], math.log10(total) + sum(math.log10(within(w, c)) for w, c in zip(words, seen, strict=True)), rel_tol=1e-6), (i, t)
 
 
+def first_states(docs, states, top_words):
+    """(states before Baum-Welch, the classes of a text)."""
+    segments = hmm_lm.common.settle(hmm_lm._segments(docs), "test-segments")
+    tokens, _, one = hmm_lm._totals(hmm_lm.common.settle(hmm_lm._corpus_counts(segments, 3, top_words), "test-counts"), top_words)
+    model = hmm_lm._fit(segments, one, tokens, states, 0)
+
+    def classes(text):
+        w = hmm_lm.common.Words(hmm_lm.pa.array([text]), lower=True)
+        return model.classes(np.append(w.hashes(), hmm_lm._END_HASH), np.append(hmm_lm._endings(w), 0))
+
+    return model, classes
+
+
+def test_op7_first_states_are_a_mixture_of_all_training_documents(rows, corpus):
+    """Against the mixture's steps, document by document; a row that occurs twice counts twice."""
+    data = [*corpus, *corpus[:3], (None, "no id"), (900, None), (901, "Ka " * 300)]
+    model, classes = first_states(rows("doc_id long, text string", *data).repartition(5), 3, 20)
+    texts = [classes(t or "") for i, t in data if not hmm_lm.held_out(i)]
+    c, k = model.emit.shape
+    count = np.array([np.bincount(t, minlength=c) for t in texts])
+    emit = (count.sum(0)[:, None] + 0.1) * np.exp(np.random.default_rng(7).uniform(-1, 1, (c, k)))
+    emit, start = emit / emit.sum(0), np.full(k, 1 / k)
+    for _ in range(hmm_lm.MIXTURES):
+        share = np.array([[w * math.exp(0.2 * x) for w, x in zip(start, own - own.max(), strict=True)] for own in count @ np.log(emit)])
+        share /= share.sum(1, keepdims=True)
+        emit = np.stack([sum(own * s for own, s in zip(count, share[:, j], strict=True)) for j in range(k)], 1) + 0.1
+        emit, start = emit / emit.sum(0), share.mean(0) + 1e-3
+        start /= start.sum()
+    assert np.allclose(model.emit, emit, rtol=1e-6) and np.allclose(model.start, start, rtol=1e-6)
+
+
+def test_op7_first_states_know_a_very_long_document(rows):
+    """400,002 tokens in one document: longer than what the states were once begun from."""
+    short = [(i, "the quick fox " * 20) for i in range(200) if not hmm_lm.held_out(i)]
+    long = next(i for i in itertools.count(1000) if not hmm_lm.held_out(i))
+    model, classes = first_states(rows("doc_id long, text string", *short, (long, "zig " * 200_000 + "zag " * 200_001)), 2, 10)
+    zig, zag = classes("zig zag")[:2]
+    assert model.emit[[zig, zag]].max(1).min() > 0.4
+
+
 def test_op7_beats_the_base_on_held_out_texts(spark):
     got = hmm_lm.score_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
